@@ -67,3 +67,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("uid") == F.col("best.uid")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 16) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    kept = exact_dedup(docs, id_col, text_col, fan_in).where("kept").select(key("doc_id").alias("_k"), F.col("text_sha256").alias("_d"))
+    digest = F.sha2(F.regexp_replace(text_or_empty(text_col), WS_RUN, ""), 256)
+    mine = docs.withColumns({"_k": key(id_col), "_d": digest})
+    return mine.join(kept, ["_k", "_d"], "left_semi").dropDuplicates(["_k", "_d"]).drop("_k", "_d")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WS_RUN, narrow, text_or_empty
+from .common import WS_RUN
 
 #: Frequent function words of the languages of the corpus.
 STOP_WORDS = {
@@ -51,12 +51,15 @@ def stop_word_list() -> list[str]:
     return sorted({w for ws in STOP_WORDS.values() for w in ws})
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The counts that the rules use. Every column that a lambda refers to is a column of the projection below it, so
+def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """The counts that the rules use; with ``carry``, the input row too, as ``row``. Every column that a lambda refers to is a column of the projection below it, so
     no array is computed again for each element."""
-    d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("t"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    d = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("t"), *row)
+    row = ["row"] if carry else []
     d = d.select(
         "doc_id",
+        *row,
         "t",
         F.filter(F.split("t", WS_RUN), lambda x: x != "").alias("w"),
         F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("ln"),
@@ -74,6 +77,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     stops = ", ".join(f"'{w}'" for w in stop_word_list())
     return d.select(
         "doc_id",
+        *row,
         F.size("w").cast("long").alias("n_words"),
         F.expr("aggregate(w, 0L, (a, x) -> a + char_length(x))").alias("word_chars"),
         F.expr(f"cast(regexp_count(t, '{SYMBOLS}') as bigint)").alias("n_symbols"),
@@ -92,11 +96,18 @@ def quality_rules(docs: DataFrame, rules=RULES, base=BASE_RULES, id_col: str = "
     shuffle, so neither ties nor skew matter, and a text of any length is one row's work. Windows are compared by
     64-bit hashes within their own text.
     """
-    c = counts(docs, id_col, text_col)
-    out = c.withColumn("base_failed", F.expr(" or ".join(f"({r.failed()})" for r in base)))
-    named = ", ".join(f"if({r.failed()}, '{r.name}', null)" for r in (*base, *rules))
-    out = out.withColumn("failed_rules", F.expr(f"array_compact(array({named}))"))
-    return out.select(
+    return _judged(counts(docs, id_col, text_col), rules, base).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (F.size("failed_rules") == 0).alias("kept"), "n_lines", "n_stop_words", F.concat_ws("|", "failed_rules").alias("failed_rules"),
     )
+
+
+def _judged(c: DataFrame, rules, base) -> DataFrame:
+    out = c.withColumn("base_failed", F.expr(" or ".join(f"({r.failed()})" for r in base)))
+    named = ", ".join(f"if({r.failed()}, '{r.name}', null)" for r in (*base, *rules))
+    return out.withColumn("failed_rules", F.expr(f"array_compact(array({named}))"))
+
+
+def keep_good(docs: DataFrame, rules=RULES, base=BASE_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that fail no rule, with all their columns."""
+    return _judged(counts(docs, id_col, text_col, carry=True), rules, base).where(F.size("failed_rules") == 0).select("row.*")

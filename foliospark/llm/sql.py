@@ -53,6 +53,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        array_to_string(f, '|') AS failed_rules FROM f"""
 
 
+def substring_doubling(window: int = 35) -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{WS}+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT rid, i, md5(array_to_string(w[i:i+{window - 1}], ' ')) AS g FROM (SELECT rid, w, unnest(range(1, len(w) - {window - 2})) AS i FROM d WHERE len(w) >= {window})),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+pos AS (SELECT rid, w[p] AS word, p FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+last AS (SELECT pos.rid, pos.p, pos.word, rep.i AS start FROM pos ASOF LEFT JOIN rep ON pos.rid = rep.rid AND pos.p >= rep.i),
+k AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM last WHERE start IS NULL OR p > start + {window - 1} GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)"""
+
+
 def warc_transactions() -> str:
     at = " || ".join(f"substr('{BASE32}', ((('0x' || substr(h, {1 + 10 * g}, 10))::BIGINT >> {35 - 5 * j}) & 31)::INT + 1, 1)" for g in range(4) for j in range(8))
     return f"""
