@@ -73,11 +73,13 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0, records_pe
     roles = plan.join(heads, ["payload_digest", "payload_bytes"], "left")
     same = F.col("first.page_id").eqNullSafe(F.col("page_id")) & (F.col("first.occ") == F.col("occ"))
     roles = roles.select("page_id", "occ", "payload_digest", F.when(F.col("long_enough") & ~same, F.col("first")).alias("first"))
-    own = Window.partitionBy("page_id").orderBy("payload_digest", "url", "payload_bytes")
-    rows = p.withColumn("payload_digest", base32_sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    rows = rows.withColumn("occ", F.row_number().over(own) - 1).drop("payload_digest")
+    # the numbering and the join share one shuffle of the payloads: both are by k alone, the row's number is a condition
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    rows = rows.withColumn("k", key("page_id")).drop("page_id").join(roles.withColumn("k", key("page_id")), ["k", "occ"])
+    own = Window.partitionBy("k").orderBy("digest_here", "url", "payload_bytes")
+    rows = p.withColumn("k", key("page_id")).withColumn("digest_here", base32_sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
+    rows = rows.withColumn("n", F.row_number().over(own) - 1).drop("digest_here", "page_id")
+    roles = roles.withColumn("rk", key("page_id"))
+    rows = rows.join(roles, (F.col("k") == F.col("rk")) & (F.col("n") - F.col("occ") == 0))
     rows = rows.withColumn("first_page", F.col("first.page_id")).withColumn("first_occ", F.col("first.occ")).withColumn("revisit", F.col("first").isNotNull())
     rid, urn = _urn("response", "page_id", "occ"), lambda kind: _urn(kind, "page_id", "occ")
     digest = F.concat(F.lit("sha1:"), F.col("payload_digest"))
