@@ -118,7 +118,7 @@ def house_class(c) -> Column:
         F.when((t == "") | t.isNull(), "empty")
         .when(has(r"^[0-9]{1,5}(\s?[/\-]\s?[0-9]{1,4})*$"), "digits")
         .when(has(r"^[0-9]{1,5}\s?([ऀ-ॿ]{1,3}|[A-Za-z])$"), "digit+letter")
-        .when((F.regexp_count(t, F.lit("[ऄ-हक़-य़]")) >= 3) & ~has("[A-Za-z]"), "place")
+        .when((F.regexp_count(t, F.lit("[ऄ-ह\u0958-\u095F]")) >= 3) & ~has("[A-Za-z]"), "place")
         .otherwise("junk")
     )
     weight = F.when(kind == "digits", 1.0).when(kind == "digit+letter", F.when(has("[A-Za-z]$"), 0.6).otherwise(0.95)).when(kind == "place", 0.9).otherwise(0.0)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 RARE, STRONG, RATIO, SUB_RARE, SUB_RATIO, ENOUGH = 4, 8, 6, 2, 8, 4000
 #: Vowel signs; a consonant with a halant, either way round.
 VOWEL_SIGNS = "ािीुूृेैोौ"
-CONJUNCT = "^([क-हक़-य़]्|्[क-हक़-य़])$"
+CONJUNCT = "^([क-ह\u0958-\u095F]्|्[क-ह\u0958-\u095F])$"
 
 
 def words(column: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relational
+from . import relational, textual
 
-QUERIES = {**relational.QUERIES}
-ORACLES = {**relational.ORACLES}
+QUERIES = {**relational.QUERIES, **textual.QUERIES}
+ORACLES = {**relational.ORACLES, **textual.ORACLES}
