@@ -40,10 +40,10 @@ class Rule:
 #: The base verdict, then the method's own length, symbol, stop-word and line ratios.
 BASE_RULES = (Rule("words", "n_words", low=10), Rule("repeats", "100 * n_repeat_words - 20 * n_words", high=0))
 RULES = (
-    Rule("word_length", "word_chars / n_words", low=2.0, high=15.0),
-    Rule("symbols", "n_symbols / n_words", high=0.10),
-    Rule("stop_words", "if(n_words < 50, 1, n_stop_words / n_words)", low=0.02),
-    Rule("dup_lines", "if(n_lines < 4, 0, n_dup_lines / n_lines)", high=0.60),
+    Rule("word_length", "word_chars / nullif(n_words, 0)", low=2.0, high=15.0),
+    Rule("symbols", "n_symbols / nullif(n_words, 0)", high=0.10),
+    Rule("stop_words", "if(n_words < 50, 1, n_stop_words / nullif(n_words, 0))", low=0.02),
+    Rule("dup_lines", "if(n_lines < 4, 0, n_dup_lines / nullif(n_lines, 0))", high=0.60),
 )
 
 

@@ -26,10 +26,9 @@ def quality_rules() -> str:
     def failed(r) -> str:
         m = r.metric
         if m.startswith("if("):
-            cond, a, b = m[3:-1].split(", ")
+            cond, a, b = m[3:-1].split(", ", 2)
             m = f"CASE WHEN {cond} THEN {a} ELSE {b} END"
-        for c in ("n_words", "n_lines"):
-            m = m.replace(f"/ {c}", f"* 1.0 / nullif({c}, 0)")
+        m = m.replace("/ nullif", "* 1.0 / nullif")
         parts = ([f"({m}) < {r.low}"] if r.low is not None else []) + ([f"({m}) > {r.high}"] if r.high is not None else [])
         return f"coalesce({' OR '.join(parts)}, true)"
 
