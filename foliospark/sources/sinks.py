@@ -15,7 +15,7 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 0, compress: bool =
     for name, kind in df.dtypes:
         c = F.concat_ws("|", F.col(name)) if kind == "array<string>" else F.col(name)
         cols.append((safe_cell(c) if guard and kind == "string" else c).alias(name))
-    w = df.select(*cols).write.mode("overwrite").option("header", True).option("emptyValue", "").option("nullValue", "")
+    w = df.select(*cols).write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).option("emptyValue", "").option("nullValue", "")
     if compress:
         w = w.option("compression", "gzip")
     if rows_per_file:
