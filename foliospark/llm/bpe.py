@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import narrow, text_or_empty, worker_state
+from .common import bound_batches, narrow, text_or_empty, worker_state
 
 #: The patterns that split text before merging, byte-level and word-level.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -193,7 +193,7 @@ class Vocabulary:
 class Encoder:
     """Encodes batches of texts; remembers the ids of chunks already seen, up to ``limit`` chunks."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 200_000):
         import regex
 
         self.vocab = Vocabulary(path)
@@ -391,12 +391,13 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches):
         enc = encoder(vocabulary)
-        for b in slices(batches, 1, 4 << 20):
+        for b in slices(batches, 1, 2 << 20):
             enc.trim()
             ids, counts = enc.encode(b.column(1))
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["doc_id", "ids"])
 
+    bound_batches(docs.sparkSession)
     d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -430,7 +431,7 @@ def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
             state[("decimal", vocabulary)] = decimal, tokens
         decimal, tokens = state[("decimal", vocabulary)]
         sha = lambda raw: hashlib.sha256(raw).hexdigest()
-        for b in slices(batches, 1, 4 << 20):
+        for b in slices(batches, 1, 2 << 20):
             enc.trim()
             ids, counts = enc.encode(b.column(1))
             ends = np.cumsum(counts)
@@ -439,5 +440,6 @@ def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
             back = [sha(b"".join(tokens[p].tolist()).decode("utf-8", "replace").encode()) for p in parts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(said), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    bound_batches(docs.sparkSession)
     d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

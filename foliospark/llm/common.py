@@ -80,6 +80,14 @@ def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def bound_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Have Spark hand rows to Python in batches of at most so many bytes, whatever their number; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now > most:
+        spark.conf.set(key, str(most))
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker, for tables and caches that many tasks use.
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import ranges, slices
-from .common import Staged, narrow, text_or_empty
+from .common import Staged, bound_batches, narrow, text_or_empty
 from .words import Windows, mix, sliding_min, split_words, word_hashes
 
 _TEXT_BATCH = 4 << 20
@@ -163,6 +163,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
     per task. Windows are compared by 64-bit hashes at each of these lengths. The spans of a text meet in one row, as
     many as it has anchors.
     """
+    bound_batches(docs.sparkSession)
     st = Staged(docs.sparkSession)
     d = narrow(docs, doc_id=id_col, text=text_col, **{f"carry{i}": c for i, c in enumerate(carry)})
     d = d.withColumn("text", text_or_empty()).withColumn("mark", F.xxhash64("text"))
