@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import ranges, slices
-from .common import Staged, narrow, text_or_empty
+from .common import Staged, bound_batches, narrow, text_or_empty
 from .components import components
 from .words import Windows, mix, split_words, word_hashes
 
@@ -16,8 +16,8 @@ _TEXT_BATCH = 4 << 20
 _ZERO = np.zeros(1, np.uint64)
 #: Most n-grams that are put last for being frequent. Their choice only orders columns; no result depends on it.
 _FREQUENT = 100_000
-#: Leaders that a run of the first product keeps.
-_LEADERS = 8
+#: Classes in a tile of the first products, and in a block of the last; members that a tile holds at once.
+_TILE, _BLOCK, _TILE_MEMBERS = 512, 1000, 4_000_000
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,33 +115,104 @@ def _sets(n: int):
     return run
 
 
-def _star(num: int, den: int):
-    """Links of runs of rows with one key to the first rows of the run that link with nothing before them."""
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The product of an incidence matrix with its transpose: how many members each two of the sets share."""
+    members = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(members, kind="stable")
+    members, row = members[order], row[order]
+    new = np.r_[True, members[1:] != members[:-1]]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column) > 1
+    use = shared[column]
+    row, column = row[use], (np.cumsum(shared) - 1)[column[use]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = max(1, (8 << 20) // max(1, len(sets)))
+    edge = np.searchsorted(column, np.arange(0, int(shared.sum()) + width, width))
+    for k, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)):
+        block = np.zeros((len(sets), min(width, int(shared.sum()) - k * width)), np.float32)
+        block[row[i:j], column[i:j] - k * width] = 1
+        out += block @ block.T
+    return out.astype(np.int64)
+
+
+def _forest(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join the classes of a tile as all their links would."""
+    if len(ids) < 2:
+        return []
+    common = overlaps(sets)
+    size = np.array([len(x) for x in sets])
+    a, b = np.nonzero(np.triu(den * common >= num * (size[:, None] + size[None, :] - common), 1))
+    root = list(range(len(ids)))
+    out = []
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = i, j
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def _tiles(num: int, den: int):
+    """The product of each run of rows with one key, in tiles of bounded size."""
 
     def run(batches):
-        now, leaders, out = None, [], []
+        now, ids, sets, held = None, [], [], 0
         for b in batches:
-            keys, ids = b.column(0).to_pylist(), b.column(1).to_pylist()
-            lists = b.column(2)
+            keys, names, lists = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
             at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            for i, (k, c) in enumerate(zip(keys, ids, strict=True)):
-                if k != now:
-                    now, leaders = k, []
-                own = flat[at[i] : at[i + 1]]
-                for other, members in leaders:
-                    both = len(own) + len(members)
-                    if num * max(len(own), len(members)) <= den * min(len(own), len(members)):
-                        common = both - len(np.union1d(own, members))
-                        if den * common >= num * (both - common):
-                            out.append((c, other))
-                            break
-                else:
-                    if len(leaders) < _LEADERS:
-                        leaders.append((c, own.copy()))
-            if len(out) > 50_000:
+            out = []
+            for i, (k, c) in enumerate(zip(keys, names, strict=True)):
+                if k != now or len(ids) >= 2 * _TILE or held > _TILE_MEMBERS:
+                    out += _forest(ids, sets, num, den)
+                    now, ids, sets, held = k, [], [], 0
+                ids.append(c)
+                sets.append(flat[at[i] : at[i + 1]].copy())
+                held += int(at[i + 1] - at[i])
+            if out:
+                yield _edges(out)
+        if out := _forest(ids, sets, num, den):
+            yield _edges(out)
+
+    return run
+
+
+def _products(num: int, den: int):
+    """A row of the last product: rows ``u, n, label, block`` sorted by u, blocks of ``c, n, label`` of one column each.
+
+    Counts add up over the row's columns; pairs of one label, of sizes too far apart, or below the overlap within the
+    prefixes that their sizes ask for are discarded.
+    """
+
+    def finish(u, n, label, blocks):
+        c, m, other = (np.concatenate(x) for x in zip(*blocks, strict=True))
+        use = (other != label) & (num * np.maximum(m, n) <= den * np.minimum(m, n))
+        c, first, o = np.unique(c[use], return_index=True, return_counts=True)
+        m = m[use][first]
+        rest = np.maximum(-(-num * m // den), -(-num * n // den)) - 1
+        return [(u, v) for v in c[o + rest >= least_overlap(m, n, num, den)].tolist()]
+
+    def run(batches):
+        now, blocks = None, []
+        for b in batches:
+            out = []
+            heads = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            lists = b.column(3)
+            at, flat = lists.offsets.to_numpy(), lists.values
+            fields = [flat.field(i).to_numpy() for i in range(3)]
+            for i, head in enumerate(heads):
+                if head != now:
+                    if blocks:
+                        out += finish(*now, blocks)
+                    now, blocks = head, []
+                blocks.append([f[at[i] : at[i + 1]].copy() for f in fields])
+            if out:
                 yield _edges(out)
-                out = []
-        if out:
+        if blocks and (out := finish(*now, blocks)):
             yield _edges(out)
 
     return run
@@ -167,7 +238,7 @@ def _verify(num: int, den: int):
     return run
 
 
-def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", star_salts: int = 16) -> DataFrame:
+def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``, linking sets with Jaccard index ``num / den`` or more.
 
     Sets are those of ``shingle_sets``; a text without words has none, links with nothing and is its own component. The
@@ -177,14 +248,17 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
 
     The product. Rows are classes, columns n-grams. Of a class only its prefix is multiplied: by the size-derived bound
     on the overlap, two classes that link share a column of both prefixes. Columns of one class alone give no product and
-    go first. A first product meets each class with a few leaders of one of its columns and contracts what links to them,
-    so a large group of near copies becomes a star and never all its pairs. Then the columns are multiplied block by
-    block: pairs of different contracted classes, of sizes that can link, accumulate their counts, and pairs below the
-    overlap that their sizes ask for within the prefixes are discarded; the rest are counted exactly on their whole sets.
+    go first. First products: in each round a class goes with one of its columns to a tile of bounded size, tiles are
+    multiplied whole and exactly, and what links is contracted, so of a large group of near copies little is left. Last
+    product: the columns' classes stand in blocks; a class that is not of its column's largest component meets these
+    blocks, not their members one by one, and adds up its counts over its columns. Pairs below the overlap that their
+    sizes ask for within the prefixes are discarded; the rest are counted exactly on their whole sets. No link between
+    different components is left out, whatever a group's size; links within one are not looked for again.
     Which n-grams are frequent, and so come last in a prefix, is counted over all texts; it changes the work, never the
     result. Sets are compared by 64-bit hashes of their members, classes by a 63-bit key with the size.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     st = Staged(spark)
     d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
     d = d.select("doc_id", F.xxhash64("text").alias("mark"), "text")
@@ -198,30 +272,35 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     shared = st.write(cols.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g"), "jaccard-shared")
     cols = st.write(cols.join(shared, "g").distinct(), "jaccard-columns")
     # the sets of classes that have such columns
-    home = cols.groupBy("c").agg(F.min("g").alias("g"), F.first("n").alias("n"))
+    home = cols.select("c").distinct()
     one = rows.where("n > 0").groupBy("c").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
     need = home.join(one, "c").select("c", F.col("one.doc_id").alias("i"), F.col("one.mark").alias("m"))
     texts = d.join(need, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m"))).select("c", "text")
     sets = st.write(texts.mapInArrow(_sets(n), "c bigint, hs array<bigint>"), "jaccard-sets")
-    # first product: stars
-    runs = sets.join(home, "c").select("g", (F.pmod(F.xxhash64("c"), F.lit(star_salts))).alias("s"), "n", "c", "hs")
-    runs = runs.repartition("g", "s").sortWithinPartitions("g", "s", F.desc("n"), "c").select(F.xxhash64("g", "s").alias("k"), "c", "hs")
-    stars = st.write(runs.mapInArrow(_star(num, den), "a bigint, b bigint"), "jaccard-stars")
-    label = components(stars, st)
-    # the product of what is left
-    at = cols.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
-    at = st.write(at, "jaccard-labelled")
-    varied = st.write(at.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g"), "jaccard-varied")
-    at = st.write(at.join(varied, "g"), "jaccard-product")
-    x, y = (at.select("g", *[F.col(k).alias(k + z) for k in ("c", "n", "label")]) for z in "xy")
-    meet = x.join(y, "g").where("cx < cy and labelx <> labely").where(f"{num} * greatest(nx, ny) <= {den} * least(nx, ny)")
-    pairs = meet.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("o"), F.first("nx").alias("nx"), F.first("ny").alias("ny"))
-    ask = f"-floor(-({num} * (nx + ny)) / {num + den})"
-    rest = f"greatest(ceil({num} * nx / {den}), ceil({num} * ny / {den})) - 1"
-    pairs = st.write(pairs.where(f"o + {rest} >= {ask}").select("cx", "cy"), "jaccard-pairs")
+    # first products: tiles
+    found, at = None, cols.withColumn("label", F.col("c"))
+    for r in range(rounds):
+        tiles = at.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / _TILE).alias("tiles"))
+        column = at.groupBy("c").agg(F.min(F.struct(F.xxhash64("g", F.lit(r)), "g")).alias("x")).select("c", F.col("x.g").alias("g"))
+        tile = F.xxhash64("g", F.pmod(F.xxhash64("c", F.lit(r)), F.col("tiles")))
+        places = column.join(tiles, "g").select("c", tile.alias("k"))
+        runs = sets.join(places, "c").select("k", "c", "hs").repartition("k").sortWithinPartitions("k", "c")
+        new = st.write(runs.mapInArrow(_tiles(num, den), "a bigint, b bigint"), "jaccard-tiles")
+        found = new if found is None else found.unionByName(new)
+        label = components(found, st)
+        at = _varied(cols.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c")), st)
+    # the last product: rows against blocks of columns
+    largest = at.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(F.max(F.struct("m", "label")).alias("x"), F.ceil(F.sum("m") / _BLOCK).alias("blocks"))
+    largest = st.write(largest.select("g", F.col("x.label").alias("largest"), "blocks"), "jaccard-largest")
+    at = at.join(largest, "g")
+    block = F.pmod(F.xxhash64("c"), F.col("blocks"))
+    blocks = at.groupBy("g", block.alias("b")).agg(F.collect_list(F.struct("c", "n", "label")).alias("block"))
+    rest = at.where("label <> largest").select("g", F.col("c").alias("u"), "n", "label")
+    meet = rest.join(blocks, "g").select("u", "n", "label", "block").repartition("u").sortWithinPartitions("u")
+    pairs = st.write(st.write(meet.mapInArrow(_products(num, den), "a bigint, b bigint"), "jaccard-product").distinct().select(F.col("a").alias("cx"), F.col("b").alias("cy")), "jaccard-pairs")
     hx, hy = (sets.select(F.col("c").alias("c" + z), F.col("hs").alias("h" + z)) for z in "xy")
     links = st.write(pairs.join(hx, "cx").join(hy, "cy").select("cx", "cy", "hx", "hy").mapInArrow(_verify(num, den), "a bigint, b bigint"), "jaccard-links")
-    label = components(stars.unionByName(links), st)
+    label = components(found.unionByName(links), st)
     out = rows.select("doc_id", "c", F.col("n").alias("n_shingles")).join(label.withColumnRenamed("node", "c"), "c", "left")
     out = out.withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "c")))
     small = st.write(out.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
@@ -229,6 +308,13 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     return out.join(small, "label", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _varied(at: DataFrame, st: Staged) -> DataFrame:
+    """Rows of the columns that classes of more than one label have."""
+    at = st.write(at, "jaccard-labelled")
+    varied = st.write(at.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g"), "jaccard-varied")
+    return st.write(at.join(varied, "g"), "jaccard-varied-rows")
+
+
 def keep_one(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose identifier stands for its component, with all their columns; rows that repeat such an
     identifier go, and rows without an identifier stay."""
