@@ -417,3 +417,63 @@ def engine_arbitration(s, d):
     bare = lambda c: F.replace(F.col(c), F.lit(" "), F.lit(""))
     lex = p.where(bare("p") == bare("t")).select(F.explode(F.split("p", " ")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return readings.arbitrate(p, lex, 1.0).select("id", "use_t", "unsure", F.round("score", 6).alias("score"))
+
+
+_STATUS = "CASE WHEN event_id % 7 = 0 THEN 'S' WHEN event_id % 5 = 0 AND user_id % 3 = 0 THEN 'R' WHEN event_id % 4 = 0 AND value >= 50 THEN 'E' WHEN value > 60 THEN '?' ELSE '' END"
+
+
+@query(f"SELECT event_id, {_STATUS} AS code, value > 60 OR {_STATUS} IN ('S', 'R', 'E') AS deleted, concat_ws('|', CASE WHEN {_STATUS} = '?' THEN 'status_letter_unclear' END, CASE WHEN value > 60 AND {_STATUS} NOT IN ('S', 'R', 'E') THEN 'deleted_without_status_code' END) AS why FROM events")
+def status_derivation(s, d):
+    from ..operators import cards
+
+    i = F.col("event_id")
+    e = table(s, d, "events").select(
+        "event_id", F.when(i % 7 == 0, "S").otherwise("").alias("marker"), F.when(i % 5 == 0, "R").alias("letter"), (F.col("user_id") % 3).alias("ls"), F.lit(0).alias("serial"),
+        F.when(i % 4 == 0, "E").alias("glyph"), (F.col("value") / 100).alias("gs"), F.col("value").alias("stamp"),
+    )
+    return e.select("event_id", cards.derive_status("marker", "letter", "ls", "serial", "glyph", "gs", "stamp").alias("x")).select("event_id", "x.code", "x.deleted", "x.why")
+
+
+@query("""WITH a AS (SELECT o_orderkey k, o_custkey % 4 m1, o_orderkey % 4 m2, o_custkey total, CASE WHEN o_orderkey % 9 > 0 THEN 700 END last_serial, o_orderkey % 6 f, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 3 END p, CASE WHEN o_orderkey % 8 = 0 THEN '' ELSE o_orderstatus END name FROM orders)
+SELECT k, concat_ws(';', CASE WHEN m1 <> m2 THEN 'm1_differs_from_m2' END, CASE WHEN total > last_serial THEN 'total_exceeds_last_serial' END, CASE WHEN f <> p THEN 'part_number_differs_from_filename' END, CASE WHEN name = '' THEN 'missing_name' END) AS why FROM a""")
+def cross_source_flags(s, d):
+    from ..operators import cards
+
+    k = F.col("o_orderkey")
+    a = table(s, d, "orders").select(
+        k.alias("k"), (F.col("o_custkey") % 4).alias("m1"), (k % 4).alias("m2"), F.col("o_custkey").alias("total"), F.when(k % 9 > 0, 700).alias("last_serial"), (k % 6).alias("f"),
+        F.when(k % 5 != 0, k % 3).alias("p"), F.when(k % 8 == 0, "").otherwise(F.col("o_orderstatus")).alias("name"),
+    )
+    return a.select("k", cards.cross_source({"m": "m1"}, {"m": "m2"}, "total", "last_serial", [("part_number_differs_from_filename", "f", "p")], ["name"]).alias("why"))
+
+
+@query("""SELECT vec_id, round_even(len(list_filter(embedding[5:44], lambda x: x < 0.05)) / (1.5 * 1.5), 0)::INT AS ink FROM embeddings""")
+def ink_count(s, d):
+    from ..operators import cards
+
+    return table(s, d, "embeddings").select("vec_id", cards.ink(F.col("embedding"), 5, 40, 0.05, 1.5).alias("ink"))
+
+
+@query("""WITH c AS (SELECT l_orderkey // 100 AS page, l_orderkey * 10 + l_linenumber AS cell_id, (l_partkey % 90)::DOUBLE AS x0, (l_suppkey % 90)::DOUBLE AS y0 FROM lineitem WHERE l_linenumber <= 2 AND l_quantity > 30),
+s AS (SELECT o_orderkey // 100 AS page, o_orderkey AS span_id, (o_custkey % 100) + 0.5 AS cx, (o_orderkey % 97) + 0.5 AS cy FROM orders)
+SELECT page, span_id, cell_id, count(*) AS n FROM s JOIN c USING (page) WHERE cx BETWEEN x0 - 1 AND x0 + 13 AND cy BETWEEN y0 - 1 AND y0 + 9 GROUP BY 1, 2, 3""")
+def spans_in_cells(s, d):
+    from ..operators import cards
+
+    li = table(s, d, "lineitem").where("l_linenumber <= 2 AND l_quantity > 30")
+    c = li.select(F.floor(F.col("l_orderkey") / 100).alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cell_id"), (F.col("l_partkey") % 90).cast("double").alias("x0"), (F.col("l_suppkey") % 90).cast("double").alias("y0"))
+    c = c.withColumn("x1", F.col("x0") + 12).withColumn("y1", F.col("y0") + 8)
+    o = table(s, d, "orders").select(F.floor(F.col("o_orderkey") / 100).alias("page"), F.col("o_orderkey").alias("span_id"), (F.col("o_custkey") % 100).cast("double").alias("x0"), (F.col("o_orderkey") % 97).cast("double").alias("y0"))
+    o = o.withColumn("x1", F.col("x0") + 1).withColumn("y1", F.col("y0") + 1)
+    return cards.spans_in_cells(o, c, "page", 10).groupBy("page", "span_id", "cell_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def house_resolution(s, d):
+    from ..operators import cards
+
+    e = table(s, d, "events")
+    i = F.col("event_id")
+    text = F.when(i % 11 == 0, F.concat((i % 50).cast("string"), F.lit(" /"))).when(i % 7 == 0, "$$").otherwise((F.col("user_id") % 20).cast("string"))
+    r = e.select("user_id", i.alias("ord"), text.alias("text"), (F.col("value") / 100).alias("score"), F.when(i % 2 == 0, "hi").otherwise("en").alias("source"))
+    return cards.resolve_house(r, ["user_id"])
