@@ -137,24 +137,23 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _forest(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join the classes of a tile as all their links would."""
+    """Pairs of each class with the first one of its component in the tile, if it is not the first itself."""
     if len(ids) < 2:
         return []
     common = overlaps(sets)
     size = np.array([len(x) for x in sets])
     a, b = np.nonzero(np.triu(den * common >= num * (size[:, None] + size[None, :] - common), 1))
     root = list(range(len(ids)))
-    out = []
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        x, y = i, j
+
+    def first(x: int) -> int:
         while root[x] != x:
             root[x] = x = root[root[x]]
-        while root[y] != y:
-            root[y] = y = root[root[y]]
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append((ids[i], ids[j]))
-    return out
+        return x
+
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = first(i), first(j)
+        root[max(x, y)] = min(x, y)
+    return [(ids[first(i)], ids[i]) for i in range(len(ids)) if first(i) != i]
 
 
 def _tiles(num: int, den: int):
