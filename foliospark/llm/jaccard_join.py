@@ -181,38 +181,49 @@ def _tiles(num: int, den: int):
 
 
 def _products(num: int, den: int):
-    """A row of the last product: rows ``u, n, label, block`` sorted by u, blocks of ``c, n, label`` of one column each.
+    """A row of the last product: rows ``u, n, label, home, largest, block`` sorted by u, blocks of ``c, n, label`` of one column each.
 
-    Counts add up over the row's columns; pairs of one label, of sizes too far apart, or below the overlap within the
-    prefixes that their sizes ask for are discarded.
+    Gives ``a, b, o, need``: o columns that the pair shares, of which at least ``need`` must be found over both its rows.
+    A row meets the columns whose largest label is not its own; ``home`` is how many of its columns it does not meet. A
+    column that the other class does not meet counts here, one that both meet in the smaller one's row: once in all.
+    Pairs of one label, of sizes too far apart, or that miss the need even if they share all ``home`` columns are
+    discarded.
     """
 
-    def finish(u, n, label, blocks):
-        c, m, other = (np.concatenate(x) for x in zip(*blocks, strict=True))
+    def finish(u, n, label, home, blocks):
+        c, m, other, mine = (np.concatenate(x) for x in zip(*blocks, strict=True))
         use = (other != label) & (num * np.maximum(m, n) <= den * np.minimum(m, n))
-        c, first, o = np.unique(c[use], return_index=True, return_counts=True)
+        c, first, at = np.unique(c[use], return_index=True, return_inverse=True)
         m = m[use][first]
+        seen = np.bincount(at, minlength=len(c))
+        o = np.bincount(at, weights=mine[use], minlength=len(c)).astype(np.int64)
         rest = np.maximum(-(-num * m // den), -(-num * n // den)) - 1
-        return [(u, v) for v in c[o + rest >= least_overlap(m, n, num, den)].tolist()]
+        need = least_overlap(m, n, num, den) - rest
+        use = (o > 0) & (seen + home >= need)
+        return np.minimum(u, c[use]), np.maximum(u, c[use]), o[use], need[use]
+
+    def batch(found):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found, strict=True)], names=["a", "b", "o", "need"])
 
     def run(batches):
         now, blocks = None, []
         for b in batches:
             out = []
-            heads = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
-            lists = b.column(3)
+            heads = list(zip(*(b.column(i).to_pylist() for i in range(4)), strict=True))
+            largest, lists = b.column(4).to_pylist(), b.column(5)
             at, flat = lists.offsets.to_numpy(), lists.values
             fields = [flat.field(i).to_numpy() for i in range(3)]
             for i, head in enumerate(heads):
                 if head != now:
                     if blocks:
-                        out += finish(*now, blocks)
+                        out.append(finish(*now, blocks))
                     now, blocks = head, []
-                blocks.append([f[at[i] : at[i + 1]].copy() for f in fields])
+                c, m, other = (f[at[i] : at[i + 1]].copy() for f in fields)
+                blocks.append((c, m, other, (other == largest[i]) | (c > head[0])))
             if out:
-                yield _edges(out)
-        if blocks and (out := finish(*now, blocks)):
-            yield _edges(out)
+                yield batch(out)
+        if blocks:
+            yield batch([finish(*now, blocks)])
 
     return run
 
@@ -250,8 +261,9 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     go first. First products: in each round a class goes with one of its columns to a tile of bounded size, tiles are
     multiplied whole and exactly, and what links is contracted, so of a large group of near copies little is left. Last
     product: the columns' classes stand in blocks; a class that is not of its column's largest component meets these
-    blocks, not their members one by one, and adds up its counts over its columns. Pairs below the overlap that their
-    sizes ask for within the prefixes are discarded; the rest are counted exactly on their whole sets. No link between
+    blocks, not their members one by one, and adds up its counts over its columns. The counts of a pair's two rows, with
+    each column in one of them, are added; pairs below the overlap that their sizes ask for within the prefixes are
+    discarded; the rest are counted exactly on their whole sets. No link between
     different components is left out, whatever a group's size; links within one are not looked for again.
     Which n-grams are frequent, and so come last in a prefix, is counted over all texts; it changes the work, never the
     result. Sets are compared by 64-bit hashes of their members, classes by a 63-bit key with the size.
@@ -294,9 +306,12 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     at = at.join(largest, "g")
     block = F.pmod(F.xxhash64("c"), F.col("blocks"))
     blocks = at.groupBy("g", block.alias("b")).agg(F.collect_list(F.struct("c", "n", "label")).alias("block"))
-    rest = at.where("label <> largest").select("g", F.col("c").alias("u"), "n", "label")
-    meet = rest.join(blocks, "g").select("u", "n", "label", "block").repartition("u").sortWithinPartitions("u")
-    pairs = st.write(st.write(meet.mapInArrow(_products(num, den), "a bigint, b bigint"), "jaccard-product").distinct().select(F.col("a").alias("cx"), F.col("b").alias("cy")), "jaccard-pairs")
+    home = at.where("label = largest").groupBy(F.col("c").alias("u")).agg(F.count(F.lit(1)).alias("home"))
+    rest = at.where("label <> largest").select("g", F.col("c").alias("u"), "n", "label", "largest").join(home, "u", "left")
+    meet = rest.join(blocks, "g").select("u", "n", "label", F.coalesce("home", F.lit(0)).alias("home"), "largest", "block").repartition("u").sortWithinPartitions("u")
+    parts = st.write(meet.mapInArrow(_products(num, den), "a bigint, b bigint, o bigint, need bigint"), "jaccard-product")
+    whole = parts.groupBy(F.col("a").alias("cx"), F.col("b").alias("cy")).agg(F.sum("o").alias("o"), F.first("need").alias("need"))
+    pairs = st.write(whole.where("o >= need").select("cx", "cy"), "jaccard-pairs")
     hx, hy = (sets.select(F.col("c").alias("c" + z), F.col("hs").alias("h" + z)) for z in "xy")
     links = st.write(pairs.join(hx, "cx").join(hy, "cy").select("cx", "cy", "hx", "hy").mapInArrow(_verify(num, den), "a bigint, b bigint"), "jaccard-links")
     label = components(found.unionByName(links), st)

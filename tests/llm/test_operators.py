@@ -210,6 +210,31 @@ def test_jaccard_classes(spark, n, num, den):
     assert jaccard_join.jaccard_classes(df.limit(0), n, num, den).count() == 0
 
 
+def drifting(seeds):
+    """Groups of copies of copies over words of their own; n-grams that most of a group keeps are frequent."""
+    out = []
+    for seed in range(seeds):
+        rng = random.Random(seed)
+        group = [[f"g{seed}w{i}" for i in range(rng.choice([40, 60, 90]))]]
+        for k in range(24):
+            t = list(rng.choice(group[-6:]))
+            for _ in range(rng.choice([1, 1, 2, 3])):
+                t[rng.randrange(len(t))] = f"g{seed}x{k}y{rng.randrange(10**6)}"
+            group.append(t)
+        out += [" ".join(t) for t in group]
+    return out
+
+
+@pytest.mark.parametrize("tile", [1, 512])
+def test_jaccard_links_of_drifting_groups(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard_join, "_TILE", tile)
+    texts = drifting(60)
+    _, roots = classes(texts, 4, 17, 20)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(df, 4, 17, 20).collect()}
+    assert got == dict(enumerate(roots))
+
+
 def test_jaccard_null_ids_and_repeats(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (1, "A b c d E f"), (None, None)]
     got = Counter(tuple(r) for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 17, 20).collect())
