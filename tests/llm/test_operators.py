@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -164,6 +165,26 @@ def test_packing_prefers_lexical_neighbours():
     assert {p[3] for p in pieces if p[0] in (0, 2)} == {0}
 
 
+def test_packing_ranks_by_all_shared_words():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 300, rng.integers(1, 200)) for _ in range(80)]
+    docs[0] = np.arange(300)
+    count = [Counter(d.tolist()) for d in docs]
+    df = Counter(w for c in count for w in c)
+    mean = sum(map(len, docs)) / len(docs)
+    index = packing.Index(np.concatenate(docs), np.array([len(d) for d in docs]))
+    for d, asked in enumerate(count):
+        score = {}
+        for e, c in enumerate(count):
+            if e != d and (both := [w for w in asked if w in c]):
+                score[e] = sum(math.log1p((80 - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * len(docs[e]) / mean)) for w in both)
+        used = np.zeros(80, bool)
+        used[d] = True
+        got = list(index.neighbours(d, used))
+        assert sorted(got) == sorted(score)
+        assert np.allclose([score[e] for e in got], sorted(score.values(), reverse=True))
+
+
 def test_quality_rules(spark):
     good = "the cat sat on the mat and the dog was in the house with a bird " * 1
     rows = [(1, good), (2, None), (3, ""), (4, "one two three"), (5, "spam eggs ham bread milk " * 30), (6, "word# " * 40), (7, "a line\n" * 5 + good), (None, good)]
