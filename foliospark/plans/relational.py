@@ -458,12 +458,20 @@ def ink_count(s, d):
 s AS (SELECT o_orderkey // 100 AS page, o_orderkey AS span_id, (o_custkey % 100) + 0.5 AS cx, (o_orderkey % 97) + 0.5 AS cy FROM orders)
 SELECT page, span_id, cell_id, count(*) AS n FROM s JOIN c USING (page) WHERE cx BETWEEN x0 - 1 AND x0 + 13 AND cy BETWEEN y0 - 1 AND y0 + 9 GROUP BY 1, 2, 3""")
 def spans_in_cells(s, d):
+    return _spans_in_cells(table(s, d, "lineitem").where("l_linenumber <= 2 AND l_quantity > 30"), table(s, d, "orders"))
+
+
+@query()
+def spans_in_all_cells(s, d):
+    return _spans_in_cells(table(s, d, "lineitem"), table(s, d, "orders"))
+
+
+def _spans_in_cells(li, orders):
     from ..operators import cards
 
-    li = table(s, d, "lineitem").where("l_linenumber <= 2 AND l_quantity > 30")
     c = li.select(F.floor(F.col("l_orderkey") / 100).alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cell_id"), (F.col("l_partkey") % 90).cast("double").alias("x0"), (F.col("l_suppkey") % 90).cast("double").alias("y0"))
     c = c.withColumn("x1", F.col("x0") + 12).withColumn("y1", F.col("y0") + 8)
-    o = table(s, d, "orders").select(F.floor(F.col("o_orderkey") / 100).alias("page"), F.col("o_orderkey").alias("span_id"), (F.col("o_custkey") % 100).cast("double").alias("x0"), (F.col("o_orderkey") % 97).cast("double").alias("y0"))
+    o = orders.select(F.floor(F.col("o_orderkey") / 100).alias("page"), F.col("o_orderkey").alias("span_id"), (F.col("o_custkey") % 100).cast("double").alias("x0"), (F.col("o_orderkey") % 97).cast("double").alias("y0"))
     o = o.withColumn("x1", F.col("x0") + 1).withColumn("y1", F.col("y0") + 1)
     return cards.spans_in_cells(o, c, "page", 10).groupBy("page", "span_id", "cell_id").agg(F.count(F.lit(1)).alias("n"))
 

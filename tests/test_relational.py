@@ -147,3 +147,16 @@ def test_majority_floor_and_empty(spark):
 def test_chunks_close_at_boundaries(spark):
     df = spark.createDataFrame([("u", i, n) for i, n in enumerate([40, 70, 10, 100, 5, 5])], "u string, part int, n bigint")
     assert [r.chunk for r in sequence.chunk_at_boundaries(df, ["u"], "part", "n", 100).orderBy("part").collect()] == [1, 1, 2, 2, 3, 3]
+
+
+def test_spans_in_all_cells_equals_loop(spark):
+    cells, want = {}, Counter()
+    for r in spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").collect():
+        cells.setdefault(r.l_orderkey // 100, []).append((r.l_orderkey * 10 + r.l_linenumber, r.l_partkey % 90, r.l_suppkey % 90))
+    for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey").collect():
+        x, y = r.o_custkey % 100 + 0.5, r.o_orderkey % 97 + 0.5
+        for cell, x0, y0 in cells.get(r.o_orderkey // 100, []):
+            if x0 - 1 <= x <= x0 + 13 and y0 - 1 <= y <= y0 + 9:
+                want[r.o_orderkey // 100, r.o_orderkey, cell] += 1
+    got = {(r.page, r.span_id, r.cell_id): r.n for r in registry.QUERIES["spans_in_all_cells"](spark, SF).collect()}
+    assert got == want and len(want) > registry.QUERIES["spans_in_cells"](spark, SF).count()
