@@ -419,6 +419,23 @@ def engine_arbitration(s, d):
     return readings.arbitrate(p, lex, 1.0).select("id", "use_t", "unsure", F.round("score", 6).alias("score"))
 
 
+@query()
+def engine_arbitration_whole(s, d):
+    """Readings of all words of every text: the first engine reads all; the second loses the last word, reads all, joins
+    the first two or loses the first. A text without words gives two empty readings, one of one word may give one."""
+    w = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")
+    k, size = F.col("doc_id"), F.size("w")
+    x = table(s, d, "documents").select("doc_id", w.alias("w"))
+    join = lambda c: F.array_join(c, " ")
+    after = lambda a: F.slice("w", a, F.greatest(size, F.lit(1)))
+    glued = F.concat(F.array(F.array_join(F.slice("w", 1, 2), "")), after(3))
+    t = F.when(k % 4 == 0, join(F.slice("w", 1, F.greatest(size - 1, F.lit(0))))).when(k % 4 == 1, join("w")).when(k % 4 == 2, join(glued)).otherwise(join(after(2)))
+    p = x.select(k.alias("id"), join("w").alias("p"), ((k % 10) / 10.0).alias("pc"), t.alias("t"), ((k % 7) / 7.0).alias("tc"))
+    bare = lambda c: F.replace(F.col(c), F.lit(" "), F.lit(""))
+    lex = p.where(bare("p") == bare("t")).select(F.explode(F.split("p", " ")).alias("token")).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return readings.arbitrate(p, lex, 1.0).select("id", "use_t", "unsure", F.round("score", 6).alias("score"))
+
+
 _STATUS = "CASE WHEN event_id % 7 = 0 THEN 'S' WHEN event_id % 5 = 0 AND user_id % 3 = 0 THEN 'R' WHEN event_id % 4 = 0 AND value >= 50 THEN 'E' WHEN value > 60 THEN '?' ELSE '' END"
 
 

@@ -160,3 +160,24 @@ def test_spans_in_all_cells_equals_loop(spark):
                 want[r.o_orderkey // 100, r.o_orderkey, cell] += 1
     got = {(r.page, r.span_id, r.cell_id): r.n for r in registry.QUERIES["spans_in_all_cells"](spark, SF).collect()}
     assert got == want and len(want) > registry.QUERIES["spans_in_cells"](spark, SF).count()
+
+
+def test_engine_arbitration_of_whole_texts_equals_loop(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("ab cd efg h ijkl mno".split()) for _ in range(rng.randrange(60))) for _ in range(60)]
+    texts += [None, "", "  ", "a", "b", "c", "d"] + ["a b"] * 4 + ["x" * 150 + f" b c d e f {i}" for i in range(4)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    reads = {}
+    for i, text in enumerate(texts):
+        w = (text or "").split()
+        reads[i] = w, [w[:-1], w, ["".join(w[:2])] * bool(w) + w[2:], w[1:]][i % 4]
+    lex = Counter(x for p, t in reads.values() if "".join(p) == "".join(t) for x in p)
+    weigh = lambda ws: sum(min(math.log2(1 + lex[x]), 5) for x in ws) / len(ws) if ws else 0
+    want = {}
+    for i, (p, t) in reads.items():
+        same, dl = "".join(p) == "".join(t), len("".join(t)) - len("".join(p))
+        score = 2 * (weigh(t) - weigh(p)) + 6 * (i % 7 / 7 - 0.5) - 3 * (i % 10 / 10 - 0.95) + 0.3 * max(-3, min(3, dl))
+        score = 0 if same else -99 if len(t) < len(p) and p[: len(t)] == t else score
+        want[i] = len(t) > len(p) if same else score > 0, not same and abs(score) < 1.5, pytest.approx(score, abs=1e-5)
+    got = {r.id: (r.use_t, r.unsure, r.score) for r in registry.QUERIES["engine_arbitration_whole"](spark, str(tmp_path)).collect()}
+    assert got == want
