@@ -25,7 +25,7 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
     Letters A-Z count as a-z. A text of fewer words than ``n`` has its whole sequence as one; a text without words none.
     """
-    lower = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    lower = pc.ascii_lower(pc.fill_null(texts, ""))  # before any cast: lower-casing a cast of a slice reads wrong bytes
     words, per_doc = split_words(lower)
     w = Windows(word_hashes(words), n)
     size = np.minimum(per_doc, n)

@@ -219,8 +219,9 @@ def test_exact_dedup(spark):
     assert exact_dedup.exact_dedup(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("n,num,den", [(4, 17, 20), (5, 4, 5)])
-def test_jaccard_classes(spark, n, num, den):
+@pytest.mark.parametrize("n,num,den,batch", [(4, 17, 20, 4 << 20), (5, 4, 5, 4 << 20), (4, 17, 20, 2000), (5, 4, 5, 1)])
+def test_jaccard_classes(spark, monkeypatch, n, num, den, batch):
+    monkeypatch.setattr(jaccard_join, "_TEXT_BATCH", batch)
     texts = near([t for t in ODD] + ["short one", "SHORT one", "a b c d e f g"])
     texts += [r.text for r in documents(spark).limit(60).collect()]
     sizes, roots = classes(texts, n, num, den)
@@ -268,8 +269,20 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 105: 100}
 
 
-@pytest.mark.parametrize("window", [35, 6])
-def test_substring_dedup(spark, window):
+def test_shingle_sets_of_slices():
+    import pyarrow as pa
+
+    texts = pa.array([None if i % 7 == 0 else f"Word{i} É Number {i % 9} of {i} " * (i % 5) for i in range(900)])
+    whole, count = jaccard_join.shingle_sets(texts, 3)
+    for step in (1, 13, 400):
+        parts = [jaccard_join.shingle_sets(texts.slice(i, step), 3) for i in range(0, len(texts), step)]
+        assert np.array_equal(np.concatenate([h for h, _ in parts]), whole) and np.array_equal(np.concatenate([c for _, c in parts]), count)
+    assert count.tolist() == classes(texts.to_pylist(), 3, 1, 1)[0]
+
+
+@pytest.mark.parametrize("window,batch", [(35, 4 << 20), (6, 4 << 20), (35, 2000), (6, 1)])
+def test_substring_dedup(spark, monkeypatch, window, batch):
+    monkeypatch.setattr(substring_dedup, "_TEXT_BATCH", batch)
     rng = random.Random(9)
     passage = " ".join(f"p{rng.randrange(50)}" for _ in range(60))
     texts = [t for t in ODD] + near([], n=6) + [f"x{i} {passage} y{i}" for i in range(5)] + ["rep " * 100, passage + " " + passage, "la di da " * 30]
