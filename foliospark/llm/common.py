@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -18,10 +19,13 @@ _OWN_DIR: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor sees: ``spark.checkpoint.dir``, or a folder of our own where it is unset (tests)."""
+    """Folder that every executor sees: ``spark.checkpoint.dir``. Where it is unset and Spark runs in this one process
+    (tests), a folder of our own; a cluster without the setting raises, since its machines share no other folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if "dir" not in _OWN_DIR:
         _OWN_DIR["dir"] = tempfile.mkdtemp(prefix="foliospark-")
         atexit.register(shutil.rmtree, _OWN_DIR["dir"], True)
@@ -68,12 +72,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def narrow(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named input columns, under internal names, so that extra or clashing columns cannot interfere.
+def placed(df: DataFrame) -> DataFrame:
+    """The same columns named ``c0, c1, ...`` by place, which no name can clash with."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
-    Columns are resolved by exact position of the first match; a missing one raises.
-    """
-    return df.select(*[df[src].alias(dst) for dst, src in columns.items()])
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The name in ``placed`` of the first column called exactly ``name``; without one, it raises."""
+    if name not in df.columns:
+        raise ValueError(f"no column {name!r} among {df.columns}")
+    return f"c{df.columns.index(name)}"
+
+
+def narrow(df: DataFrame, **columns: str) -> DataFrame:
+    """Only the named input columns, under internal names, so that extra or clashing columns cannot interfere: names
+    count exactly (``text`` is not ``Text``), the first of equal ones is taken, a missing one raises."""
+    return placed(df).select(*[F.col(place_of(df, src)).alias(dst) for dst, src in columns.items()])
 
 
 def text_or_empty(name: str = "text"):

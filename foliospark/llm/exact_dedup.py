@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WS_RUN, Staged, narrow, text_or_empty
+from .common import WS_RUN, Staged, narrow, place_of, placed, text_or_empty
 
 _KEY = ["digest", "check_hash", "norm_len"]
 
@@ -12,9 +12,10 @@ _KEY = ["digest", "check_hash", "norm_len"]
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One digest row per document: SHA-256 of the text without ASCII white space, with length and a second hash."""
     d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
-    d = d.select("doc_id", F.char_length("text").alias("n_cp"), F.regexp_replace("text", WS_RUN, "").alias("norm"))
+    d = d.select("doc_id", F.xxhash64("text").alias("mark"), F.char_length("text").alias("n_cp"), F.regexp_replace("text", WS_RUN, "").alias("norm"))
     return d.select(
         "doc_id",
+        "mark",
         "n_cp",
         F.unhex(F.sha2("norm", 256)).alias("digest"),
         F.xxhash64("norm").alias("check_hash"),
@@ -25,22 +26,24 @@ def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def merge_runs(rows: DataFrame, n_runs: int, fan_in: int = 16) -> DataFrame:
-    """Merge the runs of all partitions, ``fan_in`` at a time, until one is left.
+    """Merge the sorted digest runs of all partitions up a binomial tree, until one is left: the smallest row and the
+    count of each digest.
 
-    Round k merges runs whose number agrees after division by fan_in^k. A merge is a sort-free grouped minimum keyed
-    by (run, digest): Spark combines before it shuffles, so a run sends one row per digest whatever its copies, and a
-    digest meets at most ``fan_in`` rows per merged run. The digest travels with the text's length and an independent
-    hash, so identifiers meet only if all three agree.
+    An exchange carries log2(``fan_in``) binomial rounds at once: the run whose number ends in as many zero bits takes
+    those that differ from it in these bits, and merges them multiway. Before it a task sorts its run by (run, digest)
+    and keeps one row per digest; after it the sorted runs are merged, and again the smallest row stays. (Spark plans a
+    minimum of structs as a sort-based aggregate on both sides of the exchange, which is this.) So a run sends one row
+    per digest whatever its copies, and a digest meets ``fan_in`` rows at most. A run is spread over tasks by digest,
+    never held by one. Rows count as equal only if digest, length and an independent hash of the text agree, verified
+    at every level.
     """
-    better = F.struct((-F.col("n_cp")).alias("neg_cp"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
-    runs = rows.groupBy("run", *_KEY).agg(F.min(better).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    while n_runs > 1:
-        n_runs = -(-n_runs // fan_in)
-        runs = (
-            runs.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *_KEY)
-            .agg(F.min("best").alias("best"), F.sum("group_size").alias("group_size"))
-        )
+    better = F.struct((-F.col("n_cp")).alias("neg_cp"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "mark")
+    runs = rows.select("run", *_KEY, better.alias("best"), F.lit(1).cast("long").alias("group_size"))
+    width = 1
+    while width < n_runs or width == 1:
+        width *= fan_in
+        root = (F.floor(F.col("run") / width) * width).cast("int")
+        runs = runs.withColumn("run", root).groupBy("run", *_KEY).agg(F.min("best").alias("best"), F.sum("group_size").alias("group_size"))
     return runs.drop("run")
 
 
@@ -55,24 +58,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A group of any size costs one row per run in the merge; the last join reads from a written table on both sides,
     so a digest that holds a large part of the rows is split by adaptive skew handling.
     """
-    spark = docs.sparkSession
-    st = Staged(spark)
+    return _verdicts(docs, id_col, text_col, fan_in).select(
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+def _verdicts(docs: DataFrame, id_col: str, text_col: str, fan_in: int) -> DataFrame:
+    st = Staged(docs.sparkSession)
     rows = st.write(digest_rows(docs, id_col, text_col), "dedup-rows")
     n_runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
     root = st.write(merge_runs(rows, n_runs, fan_in), "dedup-root")
-    return rows.join(root, _KEY).select(
-        "doc_id",
-        F.col("best.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("uid") == F.col("best.uid")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+    return rows.join(root, _KEY).withColumn("kept", F.col("uid") == F.col("best.uid"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 16) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    kept = exact_dedup(docs, id_col, text_col, fan_in).where("kept").select(key("doc_id").alias("_k"), F.col("text_sha256").alias("_d"))
-    digest = F.sha2(F.regexp_replace(text_or_empty(text_col), WS_RUN, ""), 256)
-    mine = docs.withColumns({"_k": key(id_col), "_d": digest})
-    return mine.join(kept, ["_k", "_d"], "left_semi").dropDuplicates(["_k", "_d"]).drop("_k", "_d")
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns, whatever these are called. A row is known
+    by its identifier and text; of rows that agree in both, one stays."""
+    kept = _verdicts(docs, id_col, text_col, fan_in).where("kept").select(F.col("doc_id").cast("string").alias("k"), "mark")
+    mine = placed(docs)
+    i, t = place_of(docs, id_col), place_of(docs, text_col)
+    mine = mine.withColumns({"id": F.coalesce(F.col(i).cast("string"), F.lit("null")), "mine": F.xxhash64(text_or_empty(t))})
+    kept = kept.select(F.coalesce("k", F.lit("null")).alias("id"), F.col("mark").alias("mine"))
+    return mine.join(kept, ["id", "mine"], "left_semi").dropDuplicates(["id", "mine"]).select(*placed(docs).columns).toDF(*docs.columns)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WS_RUN
+from .common import WS_RUN, place_of, placed
 
 #: Frequent function words of the languages of the corpus.
 STOP_WORDS = {
@@ -54,8 +54,9 @@ def stop_word_list() -> list[str]:
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """The counts that the rules use; with ``carry``, the input row too, as ``row``. Every column that a lambda refers to is a column of the projection below it, so
     no array is computed again for each element."""
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    d = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("t"), *row)
+    d = placed(docs)
+    row = [F.struct(*d.columns).alias("row")] if carry else []
+    d = d.select(F.col(place_of(docs, id_col)).alias("doc_id"), F.coalesce(place_of(docs, text_col), F.lit("")).alias("t"), *row)
     row = ["row"] if carry else []
     d = d.select(
         "doc_id",
@@ -116,4 +117,4 @@ def keep_good(docs: DataFrame, rules=RULES, base=BASE_RULES, id_col: str = "doc_
     """
     judged = _judged(counts(docs, id_col, text_col, carry=True), rules, base)
     judged = judged.select("row", "failed_rules", F.monotonically_increasing_id().alias("stay"))
-    return judged.where((F.size("failed_rules") == 0) & (F.col("stay") >= 0)).select("row.*")
+    return judged.where((F.size("failed_rules") == 0) & (F.col("stay") >= 0)).select("row.*").toDF(*docs.columns)
