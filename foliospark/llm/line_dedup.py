@@ -22,11 +22,11 @@ def page_lines(html: Column) -> Column:
     return F.filter(F.transform(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c"))), lambda x: x != "")
 
 
-def line_dedup(pages: DataFrame, max_percent: int = 30, min_pages: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def line_dedup(pages: DataFrame, max_percent: int = 30, min_pages: int = 2, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: ``page_id, host, n_lines, n_dropped, lines`` (the lines that stay, in order).
 
     A line of a host is boilerplate when it stands on more than ``max_percent`` per cent of that host's pages and on
-    ``min_pages`` at least; every occurrence goes. A page counts once for a line it repeats; repeated rows count as
+    ``min_pages`` at least (one page alone shows nothing); every occurrence goes. A page counts once for a line it repeats; repeated rows count as
     pages of their own. Null or unusable URLs form the host ``''``; null or empty html has no lines. Lines are compared
     by 64-bit hashes within their host.
 

@@ -91,7 +91,7 @@ d AS (SELECT doc_id, {_canonical("coalesce(text, '')")} AS c FROM documents)
 SELECT doc_id, sha256(d.c) AS canonical_sha256, length(d.c)::BIGINT AS canonical_chars, license_id FROM d LEFT JOIN k ON d.c = k.c"""
 
 
-def line_dedup(max_percent: int = 30, min_pages: int = 3) -> str:
+def line_dedup(max_percent: int = 30, min_pages: int = 2) -> str:
     t = "coalesce(html, '')"
     for p in lines.NOT_TEXT:
         t = f"regexp_replace({t}, {_q(p)}, '', 'g')"
@@ -108,14 +108,28 @@ k AS (SELECT page_id, l.host, len(ls)::BIGINT AS n_lines, list_filter(ls, lambda
 SELECT page_id, host, n_lines, n_lines - len(ks) AS n_dropped, sha256(array_to_string(ks, chr(10))) AS kept_sha256 FROM k"""
 
 
-def _draws(leaves) -> str:
+def _winner(nodes) -> str:
+    """The node with the smallest draw; a draw is that of ``sharding._draw``."""
+    if len(nodes) == 1:
+        return str(nodes[0].value)
     out = []
-    for leaf in leaves:
-        a, b, c = leaf.constants()
+    for node in nodes:
+        a, b, c = node.constants()
         u = f"(k1 * {a} + k2 * {b} + {c}) % {sharding.PRIME}"
         u = f"((({u}) * 48271 + (({u}) >> 7)) % {sharding.PRIME})"
-        out.append(f"{{'draw': -ln(({u} + 1) / {float(sharding.PRIME + 1)}) / {float(leaf.weight)}, 'shard': {leaf.shard}}}")
-    return f"list_min([{', '.join(out)}]).shard"
+        out.append(f"{{'draw': -ln(({u} + 1) / {float(sharding.PRIME + 1)}) / {float(node.weight)}, 'value': {node.value}}}")
+    return f"list_min([{', '.join(out)}]).value"
+
+
+def _descend(source: str, out: str, leaves, name: str) -> str:
+    """Three steps down: ``out`` is ``source`` with the shard as ``name``."""
+    regions = sharding.tree(leaves)
+    case = lambda col, branches: f"CASE {col} " + " ".join(f"WHEN {v} THEN {x}" for v, x in branches) + " END"
+    rack = case("region", [(r.value, _winner(r.children)) for r in regions])
+    shard = case("region", [(r.value, case("rack", [(k.value, _winner(k.children)) for k in r.children])) for r in regions])
+    return f"""{out}1 AS (SELECT *, {_winner(regions)} AS region FROM {source}),
+{out}2 AS (SELECT *, {rack} AS rack FROM {out}1),
+{out} AS (SELECT * EXCLUDE (region, rack), {shard} AS {name} FROM {out}2)"""
 
 
 def hash_tree_shards(n_shards: int = 24) -> str:
@@ -130,6 +144,7 @@ e AS (SELECT doc_id, (octet_length(encode(x)) + 8)::BIGINT AS size, hex(encode(x
         ('0x' || substr(m, 1, 7))::BIGINT AS k1, ('0x' || substr(m, 8, 7))::BIGINT AS k2 FROM d),
 f AS (SELECT doc_id, size, k1, k2, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM e, tab),
-g AS (SELECT doc_id, size, text_crc32, {_draws(sharding.layout(n_shards))} AS shard, {_draws(sharding.layout(n_shards + 1))} AS grown_shard FROM f)
+{_descend("f", "g", sharding.layout(n_shards), "shard")},
+{_descend("g", "h", sharding.layout(n_shards + 1), "grown_shard")}
 SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
-       (row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT AS slot, grown_shard::INT AS grown_shard FROM g"""
+       (row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT AS slot, grown_shard::INT AS grown_shard FROM h"""
