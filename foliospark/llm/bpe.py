@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise, repeat
 
 import numpy as np
@@ -22,7 +23,8 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: White space by any of the definitions met here; a cut beside one of these is not a sure boundary.
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 _NONE = np.int32(2**31 - 1)
-#: Fragments of more bytes than this go to the library's own merge queue.
+#: Fragments of more bytes than this are merged one by one from a queue, since a pass over all would be repeated for each
+#: of their merges. The merges are the same.
 LONG_FRAGMENT = 256
 
 
@@ -41,14 +43,9 @@ class Vocabulary:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.lib = Tokenizer.from_file(path)
-        self.lib.no_truncation()
-        self.lib.no_padding()
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.alphabet = byte_alphabet()
@@ -58,9 +55,8 @@ class Vocabulary:
         for t in spec["added_tokens"]:
             self.bytes_of[t["id"]] = t["content"].encode()
         self.inside = np.zeros((256, 256), bool)
-        added = set(self.special)
         for token, i in vocab.items():
-            if token not in added:
+            if token not in self.special:
                 body = token.removesuffix(self.suffix) if self.suffix else token
                 raw = np.array([to_byte[c] for c in body], np.uint8)
                 self.bytes_of[i] = raw.tobytes()
@@ -80,12 +76,14 @@ class Vocabulary:
         self.keys = np.full((1 << bits) + 64, -1, np.int64)
         self.rank = np.full((1 << bits) + 64, _NONE, np.int32)
         self.probes = 1
+        self.rank_of: dict[int, int] = {}
         for r, (k, s) in enumerate(zip(keys.tolist(), at.tolist(), strict=True)):
             j = s
             while self.keys[j] != -1 and self.keys[j] != k:
                 j += 1
             if self.keys[j] == -1:
                 self.keys[j], self.rank[j] = k, r
+                self.rank_of[k] = r
             self.probes = max(self.probes, j - s + 1)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
@@ -185,22 +183,47 @@ class Vocabulary:
         return np.concatenate(ids), np.concatenate(counts)
 
     def _queued(self, raw: np.ndarray, word_end: bool) -> np.ndarray:
-        if self.suffix and not word_end:
-            return self.merge(raw, np.array([len(raw)]), np.array([False]))[0]
-        return np.array([t.id for t in self.lib.model.tokenize("".join(self.alphabet[b] for b in raw))], np.int32)
+        """Ids of one fragment: the lowest-ranked pair of all, the leftmost on a tie, is taken from a heap until none is
+        left; pairs that a merge has outdated are passed over."""
+        sym = self.base[raw]
+        if word_end:
+            sym[-1] = self.last[raw[-1]]
+        first = self.ranks(sym[:-1], sym[1:])
+        heap = [(int(first[i]), i) for i in np.flatnonzero(first != _NONE).tolist()]
+        heapq.heapify(heap)
+        ids: list[int] = sym.tolist()
+        after, before = [*range(1, len(ids)), -1], list(range(-1, len(ids) - 1))
+        made = self.made
+
+        def offer(i: int) -> None:
+            if i >= 0 and (j := after[i]) >= 0 and (r := self.rank_of.get(ids[i] << 20 | ids[j])) is not None:
+                heapq.heappush(heap, (r, i))
+
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i] if ids[i] >= 0 else -1
+            if j < 0 or self.rank_of.get(ids[i] << 20 | ids[j]) != r:
+                continue
+            ids[i], ids[j], after[i] = int(made[r]), -1, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(before[i])
+            offer(i)
+        return np.array([x for x in ids if x >= 0], np.int32)
 
 
 class Encoder:
-    """Encodes batches of texts; remembers the ids of chunks already seen, up to ``limit`` chunks."""
+    """Encodes batches of texts; remembers the ids of chunks already seen, up to ``limit`` chunks, and of each the number
+    that ``note`` gives it."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 200_000, note: Callable[[pa.LargeStringArray], np.ndarray] | None = None):
         import regex
 
         self.vocab = Vocabulary(path)
-        self.limit = limit
+        self.limit, self.note = limit, note
         self.byte_level = not self.vocab.suffix
         self.pattern = regex.compile(BYTE_PATTERN if self.byte_level else WORD_PATTERN)
-        self.special = re.compile("|".join(map(re.escape, self.vocab.special)))
+        self.special = re.compile(f"({'|'.join(map(re.escape, self.vocab.special)) or '(?!)'})")
         letters, marks = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"!-&(-/:-@\[-`{-~"
         self.plain = f"^(?P<core>{' ?' * self.byte_level}[{letters}]+)(?P<tail>[{marks}]*)$"
         self._clear()
@@ -211,6 +234,7 @@ class Encoder:
         self.used = 0
         self.start = np.empty(1 << 14, np.int64)
         self.count = np.empty(1 << 14, np.int32)
+        self.notes = np.empty(1 << 14, np.uint64)
 
     # -- chunks -> ids
     def _pieces(self, chunk: str) -> list[str]:
@@ -233,21 +257,23 @@ class Encoder:
         n_core, n_tail = len(core.dictionary), len(tail.dictionary)
         known: dict[str, int] = {}
         lists: list[list[int]] = []
-        special: list[tuple[int, list[int]]] = []
         odd = np.flatnonzero(~plain).tolist()
-        others = [keys[i].decode() for i in odd]
-        for i, c in enumerate(others):
-            if "<|" in c and self.special.search(c):
-                special.append((i, self.vocab.lib.encode(c, add_special_tokens=False).ids))
-                lists.append([])
+        at = lambda p: known.setdefault(p, len(known)) + n_core + n_tail
+        for c in (keys[i].decode() for i in odd):
+            if self.special.search(c):  # special tokens are pieces with ids of their own; what stands between them is text
+                lists.append([x for part in self.special.split(c) if part for x in ([at(part)] if part in self.vocab.special else map(at, self._pieces(part)))])
             else:
-                lists.append([known.setdefault(p, len(known)) + n_core + n_tail for p in self._pieces(c)])
+                lists.append(list(map(at, self._pieces(c))))
         pieces = pa.concat_arrays([core.dictionary.cast(pa.large_string()), tail.dictionary.cast(pa.large_string()), pa.array(list(known), pa.large_string())])
-        empty = pc.equal(pieces, "").to_numpy(zero_copy_only=False)
-        counts = np.zeros(len(pieces), np.int64)
-        ids = np.empty(0, np.int32)
-        if not empty.all():
-            ids, counts[~empty] = self.vocab.encode_pieces(pieces.filter(pa.array(~empty)))
+        set_ids = np.array([-1] * (n_core + n_tail) + [self.vocab.special.get(p, -1) for p in known], np.int32)
+        merged = pc.not_equal(pieces, "").to_numpy(zero_copy_only=False) & (set_ids < 0)
+        counts = np.where(set_ids < 0, 0, 1).astype(np.int64)
+        found_ids = np.empty(0, np.int32)
+        if merged.any():
+            found_ids, counts[merged] = self.vocab.encode_pieces(pieces.filter(pa.array(merged)))
+        ids = np.empty(int(counts.sum()), np.int32)
+        given = np.repeat(set_ids, counts)
+        ids[given < 0], ids[given >= 0] = found_ids, given[given >= 0]
         begins = np.cumsum(counts) - counts
         n_plain = int(plain.sum())
         which = np.empty(2 * n_plain, np.int64)
@@ -259,9 +285,6 @@ class Encoder:
         edge = np.cumsum(n_pieces)
         count = sums[edge] - sums[edge - n_pieces]
         start = self.used + np.cumsum(count) - count
-        for i, x in special:  # these stand after all others
-            start[n_plain + i], count[n_plain + i] = self.used + len(flat), len(x)
-            flat = np.r_[flat, np.array(x, np.int32)]
         n, more = len(self.at), len(keys)
         self.start, self.count = grown(self.start, n + more), grown(self.count, n + more)
         self.flat = grown(self.flat, self.used + len(flat))
@@ -270,6 +293,9 @@ class Encoder:
         self.used += len(flat)
         order = [*np.flatnonzero(plain).tolist(), *odd]
         self.at.update(zip(map(keys.__getitem__, order), range(n, n + more), strict=True))
+        if self.note:
+            self.notes = grown(self.notes, n + more)
+            self.notes[n : n + more] = self.note(table)[order]
 
     def places(self, distinct: pa.LargeStringArray) -> np.ndarray:
         """Places of distinct chunks in ``start`` and ``count``."""
@@ -288,11 +314,10 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
-        ids, counts, _, _ = self.encode_words(texts)
-        return ids, counts
+        return self.encode_words(texts)[:2]
 
     def encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``encode``, with the place of each chunk, in text order, and how many chunks a text has."""
+        """``encode``, with the note of each chunk (if there are notes), in text order, and how many chunks a text has."""
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = texts.cast(pa.large_string())
@@ -312,7 +337,7 @@ class Encoder:
         ids = self.flat[ranges(self.start[where], count)]
         sums = np.r_[0, np.cumsum(count)]
         edge = np.cumsum(per_text)
-        return ids, sums[edge] - sums[edge - per_text], where, per_text
+        return ids, sums[edge] - sums[edge - per_text], self.notes[where] if self.note else np.empty(0, np.uint64), per_text
 
     def _split_words(self, texts):
         lists = pc.ascii_split_whitespace(texts)
@@ -336,7 +361,7 @@ class Encoder:
             prev = 0
             for i in np.flatnonzero(odd).tolist():
                 t = texts[i].as_py()
-                own = self.pattern.findall(t) if re.search("[\x1c-\x1f]", t) and not self.special.search(t) else [t] if re.search("[\x1c-\x1f]", t) else cut.findall(t)
+                own = [x for part in self.special.split(t) for x in ([part] if part in self.vocab.special else self.pattern.findall(part))] if re.search("[\x1c-\x1f]", t) else cut.findall(t)
                 rows += [flat.slice(prev, begin[i] - prev), pa.array(own, pa.large_string())]
                 flags += [spaced[prev : begin[i]], np.zeros(len(own), bool)]
                 sizes[i] = len(own)
@@ -366,10 +391,12 @@ def grown(a: np.ndarray, n: int) -> np.ndarray:
     return a if len(a) >= n else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
-    state = worker_state()
-    return state.setdefault(("encoder", path), None) or state.__setitem__(("encoder", path), Encoder(path)) or state[("encoder", path)]
+def encoder(path: str, note: Callable[[pa.LargeStringArray], np.ndarray] | None = None) -> Encoder:
+    """The worker's encoder for a tokenizer file, with or without notes."""
+    state, key = worker_state(), ("encoder", path, note is not None)
+    if key not in state:
+        state[key] = Encoder(path, note=note)
+    return state[key]
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: int, most_bytes: int, most_rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
