@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import ranges, slices
-from .common import Staged, bound_batches, narrow, text_or_empty
+from .common import Staged, bound_batches, narrow, place_of, placed, text_or_empty
 from .components import components
 from .words import Windows, mix, split_words, word_hashes
 
@@ -32,9 +32,10 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.where(per_doc > 0, per_doc - size + 1, 0)
     starts = ranges(np.cumsum(per_doc) - per_doc, count)
     h = w.at(starts, np.repeat(size, count))
+    ends = np.cumsum(count)
+    for i, j in zip((ends - count).tolist(), ends.tolist(), strict=True):
+        h[i:j].sort()
     doc = np.repeat(np.arange(len(count)), count)
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.empty(0, bool)
     return h[new], np.bincount(doc[new], minlength=len(count))
 
@@ -51,25 +52,47 @@ def least_overlap(a, b, num: int, den: int):
     return -((-num * (a + b)) // (num + den))
 
 
-def _frequent(n: int, share: float):
-    """Local candidates for frequent n-grams: those in more than ``share`` of a partition's texts (4 at least)."""
+def _frequent(n: int, share: float, most: int = 4_000_000):
+    """Local candidates for frequent n-grams: those in more than ``share`` of a partition's texts (4 at least). Of more than
+    ``most`` repeated ones, those of less than half that share so far are forgotten."""
+
+    def merged(seen, least):
+        v, at = np.unique(np.concatenate([x for x, _ in seen]), return_inverse=True)
+        c = np.bincount(at, weights=np.concatenate([x for _, x in seen]), minlength=len(v)).astype(np.int64)
+        return v[c >= least], c[c >= least]
 
     def run(batches):
         seen, texts = [], 0
         for b in slices(batches, 0, _TEXT_BATCH):
             h, _ = shingle_sets(b.column(0), n)
             texts += b.num_rows
-            v, c = np.unique(h.view(np.int64), return_counts=True)
-            seen.append((v[c > 1], c[c > 1]))
+            h = np.sort(h).view(np.int64)
+            at = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
+            c = np.diff(np.r_[at, len(h)])
+            seen.append((h[at[c > 1]], c[c > 1]))
+            if sum(len(v) for v, _ in seen) > most:
+                seen = [merged(seen, share * texts / 2)]
         if seen:
-            v, at = np.unique(np.concatenate([x for x, _ in seen]), return_inverse=True)
-            c = np.bincount(at, weights=np.concatenate([x for _, x in seen]), minlength=len(v)).astype(np.int64)
-            often = c >= max(4, share * texts)
-            yield pa.RecordBatch.from_arrays([pa.array(v[often]), pa.array(c[often])], names=["g", "n"])
+            v, c = merged(seen, max(4, share * texts))
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(c)], names=["g", "n"])
 
     return run
 
 
+def _put_late(h: np.ndarray, late: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The members again, document by document, those marked late behind the others."""
+    n = np.bincount(doc)
+    begin = np.cumsum(n) - n
+    early = np.cumsum(~late) - ~late  # of all before
+    first = np.r_[0, np.cumsum(~late)][begin]
+    many = np.bincount(doc, weights=~late).astype(np.int64)
+    place = np.arange(len(h)) - begin[doc]
+    done = early - first[doc]
+    out = np.empty_like(h)
+    out[begin[doc] + np.where(late, many[doc] + place - done, done)] = h
+    return out
+
+
 def _columns(n: int, num: int, den: int, often: np.ndarray):
     """Per text its set's key and size; and for the first text of a partition with that set, the columns of its prefix.
 
@@ -93,8 +116,7 @@ def _columns(n: int, num: int, den: int, often: np.ndarray):
             if len(often):
                 at = np.minimum(np.searchsorted(often, h.view(np.int64)), len(often) - 1)
                 late = often[at] == h.view(np.int64)
-                order = np.lexsort((h, late, doc))
-                h, doc = h[order], doc[order]
+                h = _put_late(h, late, doc)
             size = np.where(fresh, count, 0)
             prefix = np.where(fresh, count + (-num * count) // den + 1, 0)
             begin = np.cumsum(size) - size
@@ -107,10 +129,10 @@ def _columns(n: int, num: int, den: int, often: np.ndarray):
 
 def _sets(n: int):
     def run(batches):
-        for b in slices(batches, 1, _TEXT_BATCH):
-            h, count = shingle_sets(b.column(1), n)
+        for b in slices(batches, 2, _TEXT_BATCH):
+            h, count = shingle_sets(b.column(2), n)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), pa.array(h.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["c", "hs"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["k", "c", "hs"])
 
     return run
 
@@ -276,34 +298,45 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     kind = d.schema["doc_id"].dataType.simpleString()
     # frequent n-grams: a list of bounded length
     counts = d.select("text").mapInArrow(_frequent(n, 1 / 500), "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
-    often = np.sort(np.array([r.g for r in st.write(counts, "jaccard-counts").orderBy(F.desc("n"), "g").limit(_FREQUENT).collect()], np.int64))
+    counts = st.write(counts, "jaccard-counts")
+    often = np.sort(np.array([r.g for r in counts.orderBy(F.desc("n"), "g").limit(_FREQUENT).collect()], np.int64))
     rows = st.write(d.mapInArrow(_columns(n, num, den, often), f"doc_id {kind}, mark bigint, c bigint, n bigint, gs array<bigint>"), "jaccard-rows")
     # columns that more than one class has
     cols = rows.select(F.explode("gs").alias("g"), "c", "n")
     shared = st.write(cols.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g"), "jaccard-shared")
     cols = st.write(cols.join(shared, "g").distinct(), "jaccard-columns")
-    # the sets of classes that have such columns
-    home = cols.select("c").distinct()
-    one = rows.where("n > 0").groupBy("c").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
-    need = home.join(one, "c").select("c", F.col("one.doc_id").alias("i"), F.col("one.mark").alias("m"))
-    texts = d.join(need, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m"))).select("c", "text")
-    sets = st.write(texts.mapInArrow(_sets(n), "c bigint, hs array<bigint>"), "jaccard-sets")
+    slim = st.write(rows.select("doc_id", "mark", "c", "n"), "jaccard-classes")
+    st.drop(rows, shared, counts)
+    rows, one = slim, st.write(slim.where("n > 0").groupBy("c").agg(F.min(F.struct("doc_id", "mark")).alias("one")), "jaccard-one")
+
+    def sets(of: DataFrame) -> DataFrame:
+        """``k, c, hs`` for ``k, c``: the sets are made again from the texts, which take less disk than they."""
+        need = one.join(of, "c").select("k", "c", F.col("one.doc_id").alias("i"), F.col("one.mark").alias("m"))
+        texts = d.join(need, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")))
+        same = texts.dropDuplicates(["c"]) if repeated else texts
+        return same.select("k", "c", "text").mapInArrow(_sets(n), "k bigint, c bigint, hs array<bigint>")
+
+    repeated = not rows.groupBy("doc_id", "mark").count().where("count > 1").isEmpty()
     # first products: tiles
     found, at = None, cols.withColumn("label", F.col("c"))
     for r in range(rounds):
         tiles = at.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / _TILE).alias("tiles"))
         column = at.groupBy("c").agg(F.min(F.struct(F.xxhash64("g", F.lit(r)), "g")).alias("x")).select("c", F.col("x.g").alias("g"))
         tile = F.xxhash64("g", F.pmod(F.xxhash64("c", F.lit(r)), F.col("tiles")))
-        places = column.join(tiles, "g").select("c", tile.alias("k"))
-        runs = sets.join(places, "c").select("k", "c", "hs").repartition("k").sortWithinPartitions("k", "c")
+        places = st.write(column.join(tiles, "g").select("c", tile.alias("k")), "jaccard-places")
+        runs = sets(places).repartition("k").sortWithinPartitions("k", "c")
         new = st.write(runs.mapInArrow(_tiles(num, den), "a bigint, b bigint"), "jaccard-tiles")
-        found = new if found is None else found.unionByName(new)
+        st.drop(places)
+        found = new if found is None else st.write(found.unionByName(new), "jaccard-tiles")
         label = components(found, st)
-        at = _varied(cols.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c")), st)
+        before, at = at if r else None, _varied(cols.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c")), st)
+        if before is not None:
+            st.drop(before)
+    st.drop(cols)
     # the last product: rows against blocks of columns
     largest = at.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(F.max(F.struct("m", "label")).alias("x"), F.ceil(F.sum("m") / _BLOCK).alias("blocks"))
     largest = st.write(largest.select("g", F.col("x.label").alias("largest"), "blocks"), "jaccard-largest")
-    at = at.join(largest, "g")
+    at_all, at = at, at.join(largest, "g")
     block = F.pmod(F.xxhash64("c"), F.col("blocks"))
     blocks = at.groupBy("g", block.alias("b")).agg(F.collect_list(F.struct("c", "n", "label")).alias("block"))
     home = at.where("label = largest").groupBy(F.col("c").alias("u")).agg(F.count(F.lit(1)).alias("home"))
@@ -312,8 +345,12 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     parts = st.write(meet.mapInArrow(_products(num, den), "a bigint, b bigint, o bigint, need bigint"), "jaccard-product")
     whole = parts.groupBy(F.col("a").alias("cx"), F.col("b").alias("cy")).agg(F.sum("o").alias("o"), F.first("need").alias("need"))
     pairs = st.write(whole.where("o >= need").select("cx", "cy"), "jaccard-pairs")
-    hx, hy = (sets.select(F.col("c").alias("c" + z), F.col("hs").alias("h" + z)) for z in "xy")
+    st.drop(parts, at_all, largest)
+    both = pairs.select(F.explode(F.array("cx", "cy")).alias("c")).distinct().withColumn("k", F.lit(0).cast("long"))
+    of = st.write(sets(both).select("c", "hs"), "jaccard-sets")
+    hx, hy = (of.select(F.col("c").alias("c" + z), F.col("hs").alias("h" + z)) for z in "xy")
     links = st.write(pairs.join(hx, "cx").join(hy, "cy").select("cx", "cy", "hx", "hy").mapInArrow(_verify(num, den), "a bigint, b bigint"), "jaccard-links")
+    st.drop(of, pairs, one)
     label = components(found.unionByName(links), st)
     out = rows.select("doc_id", "c", F.col("n").alias("n_shingles")).join(label.withColumnRenamed("node", "c"), "c", "left")
     out = out.withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "c")))
@@ -326,15 +363,18 @@ def _varied(at: DataFrame, st: Staged) -> DataFrame:
     """Rows of the columns that classes of more than one label have."""
     at = st.write(at, "jaccard-labelled")
     varied = st.write(at.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g"), "jaccard-varied")
-    return st.write(at.join(varied, "g"), "jaccard-varied-rows")
+    rows = st.write(at.join(varied, "g"), "jaccard-varied-rows")
+    st.drop(at, varied)
+    return rows
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose identifier stands for its component, with all their columns; rows that repeat such an
     identifier go, and rows without an identifier stay."""
-    key = lambda c: F.col(c).cast("string")
+    key = lambda c: F.col(c).cast("string").alias("key")
     found = jaccard_classes(docs, n, num, den, id_col, text_col)
-    kept = found.where("doc_id = component_id").select(key("doc_id").alias("_k")).distinct()
-    mine = docs.withColumn("_k", key(id_col))
-    named = mine.where("_k is not null").join(kept, "_k", "left_semi").dropDuplicates(["_k"])
-    return named.unionByName(mine.where("_k is null")).drop("_k")
+    kept = found.where("doc_id = component_id").select(key("doc_id")).distinct()
+    own = placed(docs).columns
+    mine = placed(docs).withColumn("key", key(place_of(docs, id_col)))
+    named = mine.where("key is not null").join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*own)
+    return named.unionByName(mine.where("key is null").select(*own)).toDF(*docs.columns)
