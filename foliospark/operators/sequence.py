@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from ..sources.shared import settled
 
 
 def gap_after_last_known(value: str, unit: list[str], order: list[str]) -> Column:
@@ -78,38 +84,113 @@ def carry_first(df: DataFrame, value: str, unit: list[str], order: list[str]) ->
     return df.join(v, unit, "left")
 
 
+def numbered(df: DataFrame, unit: list[str], order: list[str], name: str) -> DataFrame:
+    """``name``: the place, from 0, of each row in its unit by ``order``, however many rows a unit has.
+
+    Rows are dealt out by ranges of (unit, order), numbered within a range, and moved up by the counts of the ranges before
+    it. Null values come first; the place of rows that agree in unit and order is any of theirs.
+    """
+    d = df.withColumn("_tie", F.monotonically_increasing_id())
+    d = settled(d.repartitionByRange(*unit, *order, "_tie").withColumn("_range", F.spark_partition_id()), "numbered")
+    same = [F.col(u).eqNullSafe(F.col(f"_u{i}")) for i, u in enumerate(unit)]
+    counts = d.groupBy(*[F.col(u).alias(f"_u{i}") for i, u in enumerate(unit)], F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*[f"_u{i}" for i in range(len(unit))]).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    own = F.row_number().over(Window.partitionBy(*unit, "_range").orderBy(*order, "_tie")) - 1
+    d = d.withColumn("_own", own).join(base, [*same, F.col("_range") == F.col("_r")])
+    return d.withColumn(name, (F.col("_base") + F.col("_own")).cast("long")).select(*df.columns, name)
+
+
 def chunk_fixed(df: DataFrame, unit: list[str], order: list[str], rows: int) -> DataFrame:
     """Chunk numbers from 1, of ``rows`` rows each, within the unit."""
-    n = F.row_number().over(Window.partitionBy(*unit).orderBy(*order)) - 1
-    return df.withColumn("chunk", (F.floor(n / rows) + 1).cast("int"))
+    n = numbered(df, unit, order, "_place")
+    return n.withColumn("chunk", (F.floor(F.col("_place") / rows) + 1).cast("int")).drop("_place")
+
+
+def _in_order(df: DataFrame, unit: list[str], order: list[str], value: str, out: str, begin: Callable[[], object], step: Callable[[object, object], tuple[object, int]]) -> DataFrame:
+    """``out``: what ``step`` makes of the state and the next value, row by row in the order of the unit, from ``begin()``.
+
+    Units are what is distributed. A task holds a batch and the state, never a unit.
+    """
+    schema = StructType([*df.schema.fields, StructField(out, IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state = None, begin()
+        for b in batches:
+            made = []
+            for key, v in zip(zip(*(b.column(u).to_pylist() for u in unit), strict=True), b.column(value).to_pylist(), strict=True):
+                if key != now:
+                    now, state = key, begin()
+                state, x = step(state, v)
+                made.append(x)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.int32())], names=[*b.schema.names, out])
+
+    return df.repartition(*unit).sortWithinPartitions(*unit, *order).mapInArrow(run, schema)
 
 
 def chunk_at_boundaries(parts: DataFrame, unit: list[str], part: str, size: str, most: int) -> DataFrame:
     """Chunks that close once they hold ``most`` rows, always between parts: ``unit, part, size, chunk``.
 
-    The running sum starts again with each chunk, so the parts of a unit are folded in order within one row; the units
-    are what is distributed.
+    The running sum starts again with each chunk, so a unit is walked through in order; a part without a size counts 0.
     """
-    items = parts.groupBy(*unit).agg(F.array_sort(F.collect_list(F.struct(F.col(part), F.col(size).alias("n")))).alias("items"))
-    fold = (
-        "aggregate(items, named_struct('held', 0L, 'chunk', 1, 'out', cast(array() as array<int>)), (s, x) -> named_struct("
-        f"'held', if(s.held + x.n >= {most}, 0L, s.held + x.n), 'chunk', if(s.held + x.n >= {most}, s.chunk + 1, s.chunk), 'out', array_append(s.out, s.chunk)), s -> s.out)"
-    )
-    z = items.withColumn("chunks", F.expr(fold)).select(*unit, F.explode(F.arrays_zip("items", "chunks")).alias("z"))
-    return z.select(*unit, F.col(f"z.items.{part}").alias(part), F.col("z.items.n").alias(size), F.col("z.chunks").alias("chunk"))
+
+    def step(state, n):
+        held, chunk = state
+        held += n or 0
+        return ((0, chunk + 1) if held >= most else (held, chunk)), chunk
+
+    return _in_order(parts.select(*unit, part, size), unit, [part], size, "chunk", lambda: (0, 1), step)
 
 
 def row_clusters(df: DataFrame, unit: list[str], y: str, x: str, height: float) -> DataFrame:
     """Reading order: boxes whose y is at most half a height from their row's first member share the row.
 
-    The distance is to the first member and not to the neighbour, so the boxes of a page, few, are folded in order.
+    The distance is to the first member and not to the neighbour, so a page is walked through in order.
     """
-    items = df.groupBy(*unit).agg(F.array_sort(F.collect_list(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))).alias("items"))
-    fold = (
-        "aggregate(items, named_struct('first', cast(null as double), 'row', 0, 'out', cast(array() as array<int>)), (s, b) -> "
-        f"if(s.first is null or b.y - s.first > {height / 2}, named_struct('first', cast(b.y as double), 'row', s.row + 1, 'out', array_append(s.out, s.row + 1)), "
-        "named_struct('first', s.first, 'row', s.row, 'out', array_append(s.out, s.row))), s -> s.out)"
-    )
-    z = items.withColumn("rows", F.expr(fold)).select(*unit, F.explode(F.arrays_zip("items", "rows")).alias("z"))
-    z = z.select(*unit, F.col("z.items.y").alias(y), F.col("z.items.x").alias(x), F.col("z.rows").alias("row"))
+
+    def step(state, at):
+        first, row = state
+        return ((at, row + 1), row + 1) if first is None or at - first > height / 2 else (state, row)
+
+    z = _in_order(df.select(*unit, y, x), unit, [y, x], y, "row", lambda: (None, 0), step)
     return z.withColumn("place", F.row_number().over(Window.partitionBy(*unit).orderBy("row", x, y)))
+
+
+def classes_in_order(df: DataFrame, unit: list[str], order: list[str], label: str, classes: list[str], start: str, place: int = 4) -> DataFrame:
+    """``class``: rows from the first one labelled ``start`` (or else from row ``place``, at most the last) to the first
+    that is of the last class. A row without a label is of the class after that of the row before it, in the fixed order;
+    the first row of ``start``.
+
+    The class after the last known one, a step a row, is the last known one's number plus the distance from it, so no
+    state is carried.
+    """
+    w = Window.partitionBy(*unit).orderBy(*order)
+    whole = Window.partitionBy(*unit)
+    number = F.array_position(F.array(*map(F.lit, classes)), F.col(label)) - 1
+    d = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_k", F.when(F.coalesce(number, F.lit(-1)) >= 0, number))
+    begin = F.coalesce(F.min(F.when(F.col(label) == start, F.col("_i"))).over(whole), F.least(F.lit(place), F.max("_i").over(whole)))
+    d = d.withColumn("_begin", begin).where("_i >= _begin")
+    known = F.last(F.when(F.col("_k").isNotNull(), F.struct("_k", "_i")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("_known", known)
+    first = classes.index(start)
+    now = F.coalesce(F.col("_known._k") + F.col("_i") - F.col("_known._i"), first + F.col("_i") - F.col("_begin"))
+    d = d.withColumn("_now", F.least(now, F.lit(len(classes) - 1)).cast("int"))
+    done = F.coalesce(F.max((F.col("_now") == len(classes) - 1).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    d = d.withColumn("_done", done).where("_done = 0").withColumn("class", F.get(F.array(*map(F.lit, classes)), F.col("_now")))
+    return d.select(*df.columns, "class")
+
+
+def reread_serials(cards: DataFrame, rereads: DataFrame, key: str, read: str, unit: list[str], order: list[str], least: float = 0.5) -> DataFrame:
+    """``cards`` with ``read`` retried on evidence, ``reread``, and then repaired (``fixed``, ``corrected``).
+
+    Where the sequence expects another number than was read, the first of the card's further readings (``key, ord, read,
+    score``) that is the expected number, with a score of ``least`` or more, takes the place of the first reading.
+    """
+    expected = repair_serials(cards, read, unit, order).select(F.col(key).alias("_key"), F.col("fixed").alias("_want"))
+    d = cards.join(expected, F.col(key) == F.col("_key")).drop("_key")
+    redo = d.where(F.col("_want").isNotNull() & ~F.col("_want").eqNullSafe(F.col(read))).select(key, "_want")
+    r = rereads.select(F.col(key), F.col(read).alias("_again"), "score")
+    hit = r.join(redo, key).where((F.col("_again") == F.col("_want")) & (F.col("score") >= least)).select(key, F.lit(True).alias("reread")).distinct()
+    d = d.join(hit, key, "left").withColumn("reread", F.coalesce("reread", F.lit(False)))
+    d = d.withColumn(read, F.when(F.col("reread"), F.col("_want")).otherwise(F.col(read))).drop("_want")
+    return repair_serials(d, read, unit, order)

@@ -87,13 +87,22 @@ def apply_corrections(rows: DataFrame, key: str, column: str, fixes: DataFrame)
     return out.withColumn(column, F.when(changed, F.col("_f")).otherwise(F.col(column))).withColumn("vocab_fixed", changed).drop("_f")
 
 
+def _grams(word: str, q: Column, length: Column) -> Column:
+    """The distinct runs of ``q`` letters of a word."""
+    at = F.when(length >= q, F.sequence(F.lit(1), length - q + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(at, lambda i: F.substr(F.col(word), i, q)))
+
+
 def canonical_spellings(values: DataFrame, column: str, least: int = 4, times: float = 1.5, close: float = 0.74) -> DataFrame:
     """``value, canon`` for spellings that another one, more frequent and nearly the same, stands for.
 
     Spellings that differ in spaces become the spaced one (then the more frequent, then the greater). A value seen
     ``least`` times is a reference. Others take the reference with the best matching ratio of ``close`` or more that is
-    ``times`` as frequent; on a tie the more frequent, then the smaller. The ratio bounds the lengths, so values meet
-    only references of those lengths, by equality.
+    ``times`` as frequent; on a tie the more frequent, then the smaller.
+
+    Values meet references by equality of length and a shared run of letters. The ratio bounds the length of a reference,
+    and the matching letters M of the two: at most la + lb - 2M others cut them into that many runs and one, so the
+    longest has ceil(M / (la + lb - 2M + 1)) letters; a run of that many, two at most, is the key. No pair is left out.
     """
     from ..functions.script import ratio_column
 
@@ -103,8 +112,14 @@ def canonical_spellings(values: DataFrame, column: str, least: int = 4, times: f
     merged = target.select(F.col("t.value").alias("merged"), "bare", F.col("total").alias("m"), F.char_length("bare").alias("len"))
     canon = merged.where(F.col("m") >= least).select(F.col("merged").alias("canon"), F.col("bare").alias("cbare"), F.col("m").alias("cm"), "len")
     low, high = close / (2 - close), (2 - close) / close
-    rest = merged.where(F.col("m") < least).withColumn("len", F.explode(F.sequence(F.ceil(F.col("len") * low), F.floor(F.col("len") * high))))
-    pairs = rest.join(canon, "len").where(F.col("cm") >= times * F.col("m")).withColumn("r", ratio_column("bare", "cbare", True)).where(F.col("r") >= close)
+    rest = merged.where(F.col("m") < least).withColumn("own", F.col("len"))
+    rest = rest.withColumn("len", F.explode(F.sequence(F.ceil(F.col("len") * low), F.floor(F.col("len") * high))))
+    same = F.ceil((F.col("own") + F.col("len")) * (close / 2))
+    rest = rest.withColumn("q", F.least(F.lit(2), F.greatest(F.lit(1), F.ceil(same / (F.col("own") + F.col("len") - 2 * same + 1)))).cast("int"))
+    rest = rest.withColumn("gram", F.explode(_grams("bare", F.col("q"), F.col("own"))))
+    by_gram = canon.withColumn("q", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("gram", F.explode(_grams("cbare", F.col("q"), F.col("len"))))
+    met = rest.join(by_gram, ["len", "q", "gram"]).where(F.col("cm") >= times * F.col("m")).select("merged", "bare", "canon", "cbare", "cm").distinct()
+    pairs = met.withColumn("r", ratio_column("bare", "cbare", True)).where(F.col("r") >= close)
     best = pairs.groupBy("merged").agg(F.min_by("canon", F.struct((-F.col("r")).alias("a"), (-F.col("cm")).alias("b"), "canon")).alias("canon"))
     settled = merged.where(F.col("m") >= least).select("merged", F.col("merged").alias("canon")).unionByName(best)
     return n.join(merged.select("bare", "merged"), "bare").join(settled, "merged").where("canon <> value").select("value", "canon")

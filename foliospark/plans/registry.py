@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relational, textual
+from . import pages, relational, textual
 
-QUERIES = {**relational.QUERIES, **textual.QUERIES}
-ORACLES = {**relational.ORACLES, **textual.ORACLES}
+QUERIES = {**relational.QUERIES, **textual.QUERIES, **pages.QUERIES}
+ORACLES = {**relational.ORACLES, **textual.ORACLES, **pages.ORACLES}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as X
-from ..operators import audit, constraints, readings, sequence
+from ..operators import audit, constraints, layout, readings, sequence
 
 QUERIES, ORACLES = {}, {}
 
@@ -163,18 +163,36 @@ _EVENT_SERIALS = """s AS (SELECT user_id, event_id, row_number() OVER (PARTITION
 r AS (SELECT *, CASE WHEN (event_id * 31 % 97) % 8 = 0 THEN NULL WHEN (event_id * 31 % 97) % 6 = 0 THEN k % 10 WHEN k > 40 THEN k + 101 ELSE k + 1 END AS read FROM s), o AS (SELECT *, read - k AS o FROM r)"""
 
 
-@query(f"""WITH {_EVENT_SERIALS},
-n AS (SELECT a.user_id, a.k, b.k AS bk, b.o FROM o a JOIN o b ON a.user_id = b.user_id AND b.k BETWEEN a.k - 6 AND a.k + 6 AND b.k <> a.k AND b.o IS NOT NULL),
-c AS (SELECT user_id, k, o, count(*) AS n, min(bk) AS p, count(*) FILTER (bk BETWEEN k - 4 AND k - 1) AS l, count(*) FILTER (bk BETWEEN k + 1 AND k + 4) AS r FROM n GROUP BY 1, 2, 3),
-t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, k ORDER BY n DESC, p) AS q FROM c) WHERE q = 1),
-f AS (SELECT o.*, t.o + o.k AS better, coalesce(t.n >= 3 AND o.o IS DISTINCT FROM t.o AND t.l >= least(2, o.k) AND t.r >= least(2, o.m - 1 - o.k) AND t.l + t.r >= 3 AND t.o + o.k >= 1, false) AS corrected FROM o LEFT JOIN t USING (user_id, k))
-SELECT user_id, event_id, read, corrected, CASE WHEN corrected THEN better ELSE read END AS fixed FROM f""")
+def _repair_sql(source: str, out: str) -> str:
+    """``out`` is ``source`` (``user_id, k, m, o, read``) with ``corrected`` and ``fixed``."""
+    return f"""{out}_n AS (SELECT a.user_id, a.k, b.k AS bk, b.o FROM {source} a JOIN {source} b ON a.user_id = b.user_id AND b.k BETWEEN a.k - 6 AND a.k + 6 AND b.k <> a.k AND b.o IS NOT NULL),
+{out}_c AS (SELECT user_id, k, o, count(*) AS n, min(bk) AS p, count(*) FILTER (bk BETWEEN k - 4 AND k - 1) AS l, count(*) FILTER (bk BETWEEN k + 1 AND k + 4) AS r FROM {out}_n GROUP BY 1, 2, 3),
+{out}_t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, k ORDER BY n DESC, p) AS q FROM {out}_c) WHERE q = 1),
+{out}_f AS (SELECT o.*, t.o + o.k AS better, coalesce(t.n >= 3 AND o.o IS DISTINCT FROM t.o AND t.l >= least(2, o.k) AND t.r >= least(2, o.m - 1 - o.k) AND t.l + t.r >= 3 AND t.o + o.k >= 1, false) AS corrected FROM {source} o LEFT JOIN {out}_t t USING (user_id, k)),
+{out} AS (SELECT *, CASE WHEN corrected THEN better ELSE read END AS fixed FROM {out}_f)"""
+
+
+@query(f"WITH {_EVENT_SERIALS}, {_repair_sql('o', 'f')} SELECT user_id, event_id, read, corrected, fixed FROM f")
 def serial_repair(s, d):
+    return sequence.repair_serials(_event_serials(s, d), "read", ["user_id"], ["k"]).select("user_id", "event_id", "read", "corrected", "fixed")
+
+
+def _event_serials(s, d):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     e = table(s, d, "events").select("user_id", "event_id", "ts", (F.row_number().over(w) - 1).cast("bigint").alias("k"))
     h = F.col("event_id") * 31 % 97
-    e = e.withColumn("read", F.when(h % 8 == 0, F.lit(None)).when(h % 6 == 0, F.col("k") % 10).when(F.col("k") > 40, F.col("k") + 101).otherwise(F.col("k") + 1))
-    return sequence.repair_serials(e, "read", ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "read", "corrected", F.col("fixed").cast("bigint").alias("fixed"))
+    return e.withColumn("read", F.when(h % 8 == 0, F.lit(None)).when(h % 6 == 0, F.col("k") % 10).when(F.col("k") > 40, F.col("k") + 101).otherwise(F.col("k") + 1))
+
+
+@query(f"""WITH {_EVENT_SERIALS}, {_repair_sql('o', 'f')},
+a AS (SELECT user_id, event_id, k, m, coalesce(fixed IS DISTINCT FROM read AND fixed IS NOT NULL AND event_id % 4 > 0 AND k + 1 = fixed AND (event_id % 10) / 10.0 >= 0.5, false) AS reread, fixed, read FROM f),
+b AS (SELECT user_id, event_id, k, m, reread, CASE WHEN reread THEN fixed ELSE read END AS read FROM a), c AS (SELECT *, read - k AS o FROM b), {_repair_sql('c', 'g')}
+SELECT user_id, event_id, read, reread, corrected, fixed FROM g""")
+def serial_reread(s, d):
+    """A second reading of three in four cards says the place in the list."""
+    e = _event_serials(s, d)
+    again = e.where("event_id % 4 > 0").select("event_id", F.lit(1).alias("ord"), (F.col("k") + 1).alias("read"), ((F.col("event_id") % 10) / 10.0).alias("score"))
+    return sequence.reread_serials(e, again, "event_id", "read", ["user_id"], ["k"]).select("user_id", "event_id", "read", "reread", "corrected", "fixed")
 
 
 @query("""WITH v AS (SELECT DISTINCT l_orderkey ac, l_linenumber p FROM lineitem), g AS (SELECT *, p - row_number() OVER (PARTITION BY ac ORDER BY p) r FROM v)
@@ -198,7 +216,8 @@ def limit_n_per_group(s, d):
 @query("""SELECT p_partkey, name, (row_number() OVER (PARTITION BY p_size ORDER BY regexp_extract(name, '^[a-z]+ '), (p_partkey % 130), p_partkey))::INT AS place FROM (SELECT *, split_part(p_name, ' ', 1) || ' ' || (p_partkey % 130) AS name FROM part)""")
 def natural_sort(s, d):
     p = table(s, d, "part").withColumn("name", F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(1)), (F.col("p_partkey") % 130).cast("string")))
-    return p.select("p_partkey", "name", F.row_number().over(Window.partitionBy("p_size").orderBy(X.natural_key("name"), "p_partkey")).alias("place"))
+    p = sequence.numbered(p.select("p_partkey", "p_size", "name", X.natural_key("name").alias("k")), ["p_size"], ["k", "p_partkey"], "place")
+    return p.select("p_partkey", "name", (F.col("place") + 1).alias("place"))
 
 
 @query("SELECT doc_id, lang, n_same FROM (SELECT doc_id, lang, count(*) OVER (PARTITION BY text) AS n_same FROM documents) WHERE n_same > 1")
@@ -225,21 +244,23 @@ def chunk_split_fixed(s, d):
     return sequence.chunk_fixed(table(s, d, "orders"), ["o_orderstatus"], ["o_orderkey"], 1000).select("o_orderkey", "chunk")
 
 
-@query("""WITH RECURSIVE p AS (SELECT o_orderpriority u, o_custkey part, count(*) n FROM orders GROUP BY 1, 2), q AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY part) i FROM p),
-r AS (SELECT u, part, n, i, 1 AS chunk, CASE WHEN n >= 100 THEN 0 ELSE n END AS held, n >= 100 AS closed FROM q WHERE i = 1
-UNION ALL SELECT q.u, q.part, q.n, q.i, r.chunk + r.closed::INT, CASE WHEN r.held + q.n >= 100 THEN 0 ELSE r.held + q.n END, r.held + q.n >= 100 FROM r JOIN q ON q.u = r.u AND q.i = r.i + 1)
+@query("""WITH RECURSIVE p AS (SELECT o_custkey u, o_orderkey part, count(*) n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2), q AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY part) i FROM p),
+r AS (SELECT u, part, n, i, 1 AS chunk, CASE WHEN n >= 10 THEN 0 ELSE n END AS held, n >= 10 AS closed FROM q WHERE i = 1
+UNION ALL SELECT q.u, q.part, q.n, q.i, r.chunk + r.closed::INT, CASE WHEN r.held + q.n >= 10 THEN 0 ELSE r.held + q.n END, r.held + q.n >= 10 FROM r JOIN q ON q.u = r.u AND q.i = r.i + 1)
 SELECT u, part, n, chunk::INT AS chunk FROM r""")
 def chunk_split_resetting(s, d):
-    p = table(s, d, "orders").groupBy(F.col("o_orderpriority").alias("u"), F.col("o_custkey").alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    return sequence.chunk_at_boundaries(p, ["u"], "part", "n", 100)
+    """A customer's orders, with their lines, as the parts of a unit."""
+    n = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    p = table(s, d, "orders").select(F.col("o_custkey").alias("u"), F.col("o_orderkey").alias("part")).join(n, "part")
+    return sequence.chunk_at_boundaries(p, ["u"], "part", "n", 10)
 
 
-@query("""WITH RECURSIVE q AS (SELECT p_size u, p_partkey y, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) i FROM part),
-r AS (SELECT u, y, i, y AS f, 1 AS row FROM q WHERE i = 1 UNION ALL SELECT q.u, q.y, q.i, CASE WHEN q.y - r.f > 50 THEN q.y ELSE r.f END, CASE WHEN q.y - r.f > 50 THEN r.row + 1 ELSE r.row END FROM r JOIN q ON q.u = r.u AND q.i = r.i + 1)
+@query("""WITH RECURSIVE q AS (SELECT p_partkey // 200 u, p_partkey y, row_number() OVER (PARTITION BY p_partkey // 200 ORDER BY p_partkey) i FROM part),
+r AS (SELECT u, y, i, y AS f, 1 AS row FROM q WHERE i = 1 UNION ALL SELECT q.u, q.y, q.i, CASE WHEN q.y - r.f > 7 THEN q.y ELSE r.f END, CASE WHEN q.y - r.f > 7 THEN r.row + 1 ELSE r.row END FROM r JOIN q ON q.u = r.u AND q.i = r.i + 1)
 SELECT u, y, row::INT AS row, (row_number() OVER (PARTITION BY u ORDER BY row, y % 7, y))::INT AS place FROM r""")
 def reading_order_rows(s, d):
-    p = table(s, d, "part").select(F.col("p_size").alias("u"), F.col("p_partkey").alias("y"), (F.col("p_partkey") % 7).alias("x"))
-    return sequence.row_clusters(p, ["u"], "y", "x", 100).drop("x")
+    p = table(s, d, "part").select(F.floor(F.col("p_partkey") / 200).alias("u"), F.col("p_partkey").alias("y"), (F.col("p_partkey") % 7).alias("x"))
+    return sequence.row_clusters(p, ["u"], "y", "x", 14).drop("x")
 
 
 _CELLS = """c AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, (l_quantity)::INT m, (l_suppkey % 40)::INT f, (l_partkey % 3)::INT t, row_number() OVER () AS rid FROM lineitem),
@@ -348,13 +369,13 @@ def validation_flags(s, d):
     return c.select("c_custkey", F.array_join(constraints.row_checks("id", F.col("gap"), "relation", "gender", "age", "op", "os", "name", F.col("low")), "|").alias("review"))
 
 
-@query("""WITH l AS (SELECT list(p_retailprice::DOUBLE ORDER BY p_partkey) AS ls FROM part WHERE p_partkey % 200 = 0)
-SELECT p_partkey, CASE WHEN best.d <= 15 THEN best.x END AS snapped FROM (SELECT p_partkey, list_min(list_transform(ls, lambda x: {'d': abs(x - p_retailprice), 'x': x})) AS best FROM part, l)""")
+@query("""WITH l AS (SELECT DISTINCT p_size, floor(p_retailprice / 50) * 50 AS x FROM part)
+SELECT p_partkey, min({'d': abs(x - p_retailprice), 'x': x}) FILTER (abs(x - p_retailprice) <= 15).x AS snapped FROM part JOIN l USING (p_size) GROUP BY 1""")
 def nearest_snap(s, d):
-    p = table(s, d, "part")
-    lines = p.where("p_partkey % 200 = 0").agg(F.collect_list(F.col("p_retailprice")).alias("lines"))  # page rulings: a handful by nature
-    p = p.crossJoin(F.broadcast(lines))
-    return p.select("p_partkey", constraints.nearest(p, "p_retailprice", "lines", 15).alias("snapped"))
+    """Prices to the nearest of the lines that the prices of their size stand on."""
+    p = table(s, d, "part").select("p_partkey", "p_size", "p_retailprice")
+    lines = p.select("p_size", (F.floor(F.col("p_retailprice") / 50) * 50).cast("double").alias("line"))
+    return layout.cell_of("p_retailprice", lines, p, ["p_size"], 15).select("p_partkey", "snapped")
 
 
 @query("""SELECT page_id, CASE WHEN instr(t, ':') > 0 THEN trim(substr(t, instr(t, ':') + 1)) ELSE '' END AS after FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)', 1) || CASE WHEN page_id % 2 = 0 THEN ' : part ' || page_id || ':x ' ELSE '' END AS t FROM pages)""")
@@ -399,28 +420,16 @@ def template_match_margin(s, d):
     return m.select("vec_id", "label", F.round("score", 6).alias("score"), F.round("margin", 6).alias("margin"))
 
 
-@query("""WITH w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(left(text, 120), '\\s+'), lambda x: x <> '') AS w FROM documents WHERE length(text) > 40),
-p AS (SELECT doc_id AS id, array_to_string(w[1:3], ' ') AS p, (doc_id % 10) / 10.0 AS pc, CASE WHEN doc_id % 4 = 0 THEN array_to_string(w[1:2], ' ') WHEN doc_id % 4 = 1 THEN array_to_string(w[1:3], ' ') WHEN doc_id % 4 = 2 THEN array_to_string([w[1] || w[2]], ' ') ELSE array_to_string(w[2:5], ' ') END AS t, (doc_id % 7) / 7.0 AS tc FROM w WHERE len(w) >= 6),
-l AS (SELECT token, count(*) AS n FROM (SELECT unnest(string_split(p, ' ')) AS token FROM p WHERE replace(p, ' ', '') = replace(t, ' ', '')) GROUP BY 1),
-tk AS (SELECT id, e, token FROM (SELECT id, 0 AS e, unnest(string_split(p, ' ')) AS token FROM p UNION ALL SELECT id, 1, unnest(string_split(t, ' ')) FROM p)),
-sc AS (SELECT id, e, avg(least(log2(1 + coalesce(n, 0)), 5.0)) AS x FROM tk LEFT JOIN l USING (token) GROUP BY 1, 2),
-v AS (SELECT p.*, a.x AS lp, b.x AS lt, string_split(p, ' ') AS ps, string_split(t, ' ') AS ts, replace(p, ' ', '') = replace(t, ' ', '') AS same FROM p JOIN sc a ON a.id = p.id AND a.e = 0 JOIN sc b ON b.id = p.id AND b.e = 1),
-z AS (SELECT *, CASE WHEN len(ts) < len(ps) AND ps[1:len(ts)] = ts THEN -99.0 ELSE 2.0 * (lt - lp) + 6.0 * (tc - 0.5) - 3.0 * (pc - 0.95) + 0.3 * greatest(-3, least(3, length(replace(t, ' ', '')) - length(replace(p, ' ', '')))) END AS sco FROM v)
+@query("""WITH w AS (SELECT doc_id AS k, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT k AS id, array_to_string(w, ' ') AS p, (k % 10) / 10.0 AS pc, CASE k % 4 WHEN 0 THEN array_to_string(w[1:greatest(len(w) - 1, 0)], ' ') WHEN 1 THEN array_to_string(w, ' ') WHEN 2 THEN array_to_string(list_prepend(array_to_string(w[1:2], ''), w[3:]), ' ') ELSE array_to_string(w[2:], ' ') END AS t, (k % 7) / 7.0 AS tc FROM w),
+v AS (SELECT *, list_filter(string_split(p, ' '), lambda x: x <> '') AS ps, list_filter(string_split(t, ' '), lambda x: x <> '') AS ts, replace(p, ' ', '') = replace(t, ' ', '') AS same FROM p),
+l AS (SELECT token, count(*) AS n FROM (SELECT unnest(ps) AS token FROM v WHERE same) GROUP BY 1),
+sc AS (SELECT id, e, avg(least(log2(1 + coalesce(n, 0)), 5.0)) AS x FROM (SELECT id, 0 AS e, unnest(ps) AS token FROM v UNION ALL SELECT id, 1, unnest(ts) FROM v) LEFT JOIN l USING (token) GROUP BY 1, 2),
+z AS (SELECT v.*, CASE WHEN len(ts) = 0 THEN -99.0 WHEN len(ps) = 0 THEN 99.0 WHEN len(ts) < len(ps) AND ps[1:len(ts)] = ts THEN -99.0
+  ELSE 2.0 * (coalesce(b.x, 0) - coalesce(a.x, 0)) + 6.0 * (tc - 0.5) - 3.0 * (pc - 0.95) + 0.3 * greatest(-3, least(3, length(replace(t, ' ', '')) - length(replace(p, ' ', '')))) END AS sco
+  FROM v LEFT JOIN sc a ON a.id = v.id AND a.e = 0 LEFT JOIN sc b ON b.id = v.id AND b.e = 1)
 SELECT id, CASE WHEN same THEN len(ts) > len(ps) ELSE sco > 0 END AS use_t, NOT same AND abs(sco) < 1.5 AS unsure, round(CASE WHEN same THEN 0.0 ELSE sco END, 6) AS score FROM z""")
 def engine_arbitration(s, d):
-    w = F.filter(F.split(F.substring("text", 1, 120), r"\s+"), lambda x: x != "")
-    x = table(s, d, "documents").where("char_length(text) > 40").select("doc_id", w.alias("w")).where("size(w) >= 6")
-    join = lambda a, n: F.array_join(F.slice("w", a, n), " ")
-    k = F.col("doc_id")
-    t = F.when(k % 4 == 0, join(1, 2)).when(k % 4 == 1, join(1, 3)).when(k % 4 == 2, F.concat(F.get("w", F.lit(0)), F.get("w", F.lit(1)))).otherwise(join(2, 4))
-    p = x.select(k.alias("id"), join(1, 3).alias("p"), ((k % 10) / 10.0).alias("pc"), t.alias("t"), ((k % 7) / 7.0).alias("tc"))
-    bare = lambda c: F.replace(F.col(c), F.lit(" "), F.lit(""))
-    lex = p.where(bare("p") == bare("t")).select(F.explode(F.split("p", " ")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return readings.arbitrate(p, lex, 1.0).select("id", "use_t", "unsure", F.round("score", 6).alias("score"))
-
-
-@query()
-def engine_arbitration_whole(s, d):
     """Readings of all words of every text: the first engine reads all; the second loses the last word, reads all, joins
     the first two or loses the first. A text without words gives two empty readings, one of one word may give one."""
     w = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")
@@ -471,15 +480,10 @@ def ink_count(s, d):
     return table(s, d, "embeddings").select("vec_id", cards.ink(F.col("embedding"), 5, 40, 0.05, 1.5).alias("ink"))
 
 
-@query("""WITH c AS (SELECT l_orderkey // 100 AS page, l_orderkey * 10 + l_linenumber AS cell_id, (l_partkey % 90)::DOUBLE AS x0, (l_suppkey % 90)::DOUBLE AS y0 FROM lineitem WHERE l_linenumber <= 2 AND l_quantity > 30),
+@query("""WITH c AS (SELECT l_orderkey // 100 AS page, l_orderkey * 10 + l_linenumber AS cell_id, (l_partkey % 90)::DOUBLE AS x0, (l_suppkey % 90)::DOUBLE AS y0 FROM lineitem),
 s AS (SELECT o_orderkey // 100 AS page, o_orderkey AS span_id, (o_custkey % 100) + 0.5 AS cx, (o_orderkey % 97) + 0.5 AS cy FROM orders)
 SELECT page, span_id, cell_id, count(*) AS n FROM s JOIN c USING (page) WHERE cx BETWEEN x0 - 1 AND x0 + 13 AND cy BETWEEN y0 - 1 AND y0 + 9 GROUP BY 1, 2, 3""")
 def spans_in_cells(s, d):
-    return _spans_in_cells(table(s, d, "lineitem").where("l_linenumber <= 2 AND l_quantity > 30"), table(s, d, "orders"))
-
-
-@query()
-def spans_in_all_cells(s, d):
     return _spans_in_cells(table(s, d, "lineitem"), table(s, d, "orders"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import script
-from ..operators import audit, grouping, reporting, vocab
+from ..operators import audit, grouping, reporting, restore, vocab
 from .relational import table
 
 QUERIES, ORACLES = {}, {}
@@ -26,9 +26,8 @@ v AS (SELECT token, count(*) AS n FROM t WHERE length(token) >= 2 GROUP BY 1)"""
 
 
 def _vocabulary(s, d):
-    good = table(s, d, "labels").where("quality = 1").select("doc_id")
-    rows = table(s, d, "documents").select("doc_id", "text").join(good, "doc_id", "left_semi")
-    return vocab.build_vocabulary(rows, ["text"], F.lit(True))
+    rows = table(s, d, "documents").select("doc_id", "text").join(table(s, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return vocab.build_vocabulary(rows, ["text"], F.col("quality") == 1)
 
 
 @query(f"WITH {_TOKENS} SELECT token, n FROM v")
@@ -36,16 +35,22 @@ def token_vocab(s, d):
     return _vocabulary(s, d)
 
 
-@query(f"""WITH {_TOKENS}, s AS (SELECT token AS target, n AS m FROM v WHERE n >= 8), tot AS (SELECT sum(n) AS total FROM v),
+_FIXES = _TOKENS + """, s AS (SELECT token AS target, n AS m FROM v WHERE n >= 8), tot AS (SELECT sum(n) AS total FROM v),
 k AS (SELECT DISTINCT target, m, substr(target, 1, i - 1) || substr(target, i + 1) AS key FROM (SELECT *, unnest(range(1, length(target))) AS i FROM s)),
 p AS (SELECT DISTINCT v.token, v.n, k.target, k.m FROM v JOIN k ON k.key = v.token, tot WHERE total >= 4000 AND v.n <= 4 AND length(v.token) >= 3 AND k.target <> v.token AND k.m >= 6 * greatest(v.n, 1)),
-r AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY m DESC, target DESC) AS q, lead(m) OVER (PARTITION BY token ORDER BY m DESC, target DESC) AS nx FROM p)
-SELECT token, target AS fixed FROM r WHERE q = 1 AND (nx IS NULL OR m >= 2 * nx)""")
+r AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY m DESC, target DESC) AS q, lead(m) OVER (PARTITION BY token ORDER BY m DESC, target DESC) AS nx FROM p),
+fx AS (SELECT token, target AS fixed FROM r WHERE q = 1 AND (nx IS NULL OR m >= 2 * nx))"""
+
+
+@query(f"WITH {_FIXES} SELECT token, fixed FROM fx")
 def vocab_repair(s, d):
     return vocab.corrections(_vocabulary(s, d))
 
 
-@query()
+@query(f"""WITH {_FIXES}, d AS (SELECT doc_id, text, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM documents),
+x AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM d),
+y AS (SELECT doc_id, string_agg(coalesce(fixed, token), ' ' ORDER BY pos) AS ft, coalesce(string_agg(token || '>' || fixed, '; ' ORDER BY pos) FILTER (fixed <> token), '') AS changes FROM x LEFT JOIN fx USING (token) GROUP BY 1)
+SELECT doc_id, sha256(CASE WHEN coalesce(changes, '') <> '' THEN ft ELSE text END) AS text_sha256, coalesce(changes, '') AS changes, coalesce(changes, '') <> '' AS vocab_fixed FROM d LEFT JOIN y USING (doc_id)""")
 def vocab_apply(s, d):
     rows = table(s, d, "documents").select("doc_id", "text")
     return vocab.apply_corrections(rows, "doc_id", "text", vocab.corrections(_vocabulary(s, d))).select("doc_id", F.sha2("text", 256).alias("text_sha256"), "changes", "vocab_fixed")
@@ -113,9 +118,9 @@ def run_info_json(s, d):
 
 
 def _titles(s, d):
-    """Page titles' first words as place names, of which one in four lost a letter and one in three its spaces."""
+    """Page titles' first words as place names, forty pages a unit, of which one in four lost a letter and one in three its spaces."""
     t = F.array_join(F.slice(F.filter(F.split(F.regexp_extract("html", "<title>([^<]*)", 1), r"[ ,.]+"), lambda x: x != ""), 1, 3), " ")
-    p = table(s, d, "pages").select("page_id", (F.col("page_id") % 9).alias("unit"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("copy"), t.alias("name"))
+    p = table(s, d, "pages").select("page_id", F.floor(F.col("page_id") / 40).alias("unit"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("copy"), t.alias("name"))
     hurt = F.when(F.col("copy") == 6, F.concat(F.substring("name", 1, 4), F.substring("name", 6, 99))).when(F.col("copy") == 7, F.replace("name", F.lit(" "), F.lit(""))).otherwise(F.col("name"))
     return p.withColumn("name", hurt)
 
@@ -131,11 +136,40 @@ def booth_grouping(s, d):
     return grouping.group_buildings(p, "unit", "part", "name")
 
 
-@query()
+#: Names as readers give them, and as they were written.
+DAMAGED = {
+    "धमेन्द्र": "धर्मेन्द्र", "मता देवी": "ममता देवी", "नाम मः राम": "राम", "सपनाे": "सपना", ": सुरेनत्र": "सुरेन्द्र", "हरेद्र": "हरेन्द्र",
+    "लक्मी": "लक्ष्मी", "पुष्षा": "पुष्पा", "मुन्री": "मुन्नी", "राम DELETED": "राम", "उ्मिला": "उर्मिला", "महन्री": "महेन्द्री", "सीता": "सीता",
+}
+
+
+def _pairs_sql(pairs: dict[str, str]) -> str:
+    return "(VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(pairs.items())) + ")"
+
+
+def _given(s, d, pairs: dict[str, str]):
+    """Customers with one of the given words each."""
+    word = F.element_at(F.array(*map(F.lit, pairs)), (F.col("c_custkey") % len(pairs) + 1).cast("int"))
+    return table(s, d, "customer").select("c_custkey", word.alias("word"))
+
+
+@query(f"SELECT c_custkey, b AS cleaned FROM customer JOIN {_pairs_sql(DAMAGED)} v(i, a, b) ON i = c_custkey % {len(DAMAGED)}")
 def name_rules_distinct(s, d):
-    """Cleaning rules run once per distinct value; Latin text has no Devanagari words, so what is left is empty."""
-    n = table(s, d, "customer").select("c_custkey", "c_mktsegment")
-    return script.per_value(n, "c_mktsegment", "cleaned", lambda x: script.clean_name(x)).select("c_custkey", "cleaned")
+    """Cleaning rules run once per distinct value."""
+    return script.per_value(_given(s, d, DAMAGED), "word", "cleaned", script.clean_name).select("c_custkey", "cleaned")
+
+
+#: Words of a lexicon, and tokens that lost letters with the word that they were (or stay).
+LEXICON = "त्यागी माध्यमिक गोवर्धन नम्बर इण्टर इन्टर विद्यालय".split()
+LOST = {"यागी": "त्यागी", "माधिमक": "माध्यमिक", "गोवधन": "गोवर्धन", "नबर": "नम्बर", "इटर": "इटर", "योगी": "योगी", "नम्बर": "नम्बर", "विदयालय": "विद्यालय", "न१र": "न१र"}
+
+
+@query(f"SELECT c_custkey, a AS word, b AS restored FROM customer JOIN {_pairs_sql(LOST)} v(i, a, b) ON i = c_custkey % {len(LOST)}")
+def restored_words(s, d):
+    t = _given(s, d, LOST).withColumn("unit", F.col("c_custkey") % 5)
+    known = s.createDataFrame([(w, i) for i, w in enumerate(LEXICON)], "word string, place int")
+    fixes = restore.restore(t.select("unit", F.col("word").alias("token")), known).withColumnRenamed("token", "word")
+    return t.join(fixes, ["unit", "word"], "left").select("c_custkey", "word", F.coalesce("fixed", "word").alias("restored"))
 
 
 @query("SELECT user_id, event_type AS status, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources.shared import shared_path
+
 EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
@@ -64,12 +65,7 @@ def merge_batch(target: str, key: list[str]):
 
 def _drained(spark: SparkSession, stream: DataFrame, mode: str, name: str) -> DataFrame:
     """Everything that is there now, through the streaming engine, as a table in the shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="foliospark-stream-")
-    at = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    at = shared_path(spark, name)
     schema = stream.schema
 
     def keep(batch: DataFrame, batch_id: int) -> None:

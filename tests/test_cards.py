@@ -1,7 +1,9 @@
 """House numbers, the finishing chain and wording of places, by worked cases."""
 
+from pyspark.sql import functions as F
+
 from foliospark.functions import script as S
-from foliospark.operators import cards, finalize
+from foliospark.operators import cards, finalize, grouping
 
 
 def test_house_numbers(spark):
@@ -44,4 +46,12 @@ def test_wording_of_places():
     assert S.repair_words("संखयान 1") == "संख्या-1" and S.repair_words("मधय पसाद") == "मध्य प्रसाद"
     assert S.room_number("नमबर-उ") == "नम्बर-3" and S.room_number("नबर 2") == "नम्बर-2"
     assert S.vote_words([("vilage", 0.5), ("x", 0.9)], [("village", 0.9)]) == ["village", "x"]
-    assert S.without_room("प्राथमिक विद्यालय कक्ष संख्या-2") == "प्राथमिक विद्यालय"
+
+
+def test_building_names(spark):
+    names = ["प्राथमिक विद्यालय कक्ष संख्या-2", "प्राथमिक विद्यालय रामपुर नं 2", "कक्ष 2", None, "प्राथमिक विद्यालय रामपुर"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    got = {r.i: (r.b, r.k) for r in df.select("i", grouping.building_name(F.col("n")).alias("b"), grouping.place_key(F.col("n")).alias("k")).collect()}
+    assert [got[i][0] for i in range(5)] == ["प्राथमिक विद्यालय", "प्राथमिक विद्यालय रामपुर", "कक्ष 2", "", "प्राथमिक विद्यालय रामपुर"]
+    for n, i in zip(names, range(5), strict=True):
+        assert got[i][1] == (None if n is None else grouping._plain_key(n))
