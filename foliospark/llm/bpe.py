@@ -216,7 +216,7 @@ class Encoder:
     """Encodes batches of texts; remembers the ids of chunks already seen, up to ``limit`` chunks, and of each the number
     that ``note`` gives it."""
 
-    def __init__(self, path: str, limit: int = 200_000, note: Callable[[pa.LargeStringArray], np.ndarray] | None = None):
+    def __init__(self, path: str, limit: int = 600_000, note: Callable[[pa.LargeStringArray], np.ndarray] | None = None):
         import regex
 
         self.vocab = Vocabulary(path)
@@ -317,7 +317,7 @@ class Encoder:
         return self.encode_words(texts)[:2]
 
     def encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``encode``, with the note of each chunk (if there are notes), in text order, and how many chunks a text has."""
+        """``encode``, with the place of each chunk, in text order, and how many chunks a text has."""
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = texts.cast(pa.large_string())
@@ -337,7 +337,7 @@ class Encoder:
         ids = self.flat[ranges(self.start[where], count)]
         sums = np.r_[0, np.cumsum(count)]
         edge = np.cumsum(per_text)
-        return ids, sums[edge] - sums[edge - per_text], self.notes[where] if self.note else np.empty(0, np.uint64), per_text
+        return ids, sums[edge] - sums[edge - per_text], where, per_text
 
     def _split_words(self, texts):
         lists = pc.ascii_split_whitespace(texts)

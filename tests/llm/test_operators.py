@@ -165,7 +165,8 @@ def lexicon_of(docs, most=1 << 18):
 
 
 def index_of(docs, lexicon):
-    return packing.Index(np.concatenate([np.array(d, np.uint64) for d in docs]), np.array([len(d) for d in docs]), lexicon)
+    words = np.concatenate(docs).astype(np.int64)
+    return packing.Index(words, np.arange(words.max() + 1, dtype=np.uint64), np.array([len(d) for d in docs]), lexicon)
 
 
 def test_packing_prefers_lexical_neighbours():
@@ -203,13 +204,20 @@ def test_packing_counts_the_whole_corpus(spark):
     rows = [r.text for r in documents(spark).collect()] + [None, "", " . ", "One, two. ONE two"]
     norm = [[w for x in SPLIT.findall(t or "") if (w := x.strip(packing._MARKS).encode().lower())] for t in rows]
     df = Counter(w for d in norm for w in set(d))
-    spread = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
-    got = packing.gather_lexicon(spread, Staged(spark))
+    spread = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed, got = packing.survey(spread, Staged(spark))
     assert (got.n, got.other) == (len(rows), 1) and got.mean == sum(len(SPLIT.findall(t or "")) for t in rows) / len(rows)
     assert dict(zip(got.words.tolist(), got.counts.tolist(), strict=True)) == {xxh64_intdigest(w): n for w, n in df.items() if n > 1}
-    few = packing.gather_lexicon(spread, Staged(spark), most=50)
+    few = packing.survey(spread, Staged(spark), most=50)[1]
     assert sorted(few.counts.tolist()) == sorted(sorted(df.values())[-50:]) and few.other == min(few.counts)
-    assert packing.gather_lexicon(spread.limit(0), Staged(spark)).n == 0
+    assert packing.survey(spread.limit(0), Staged(spark))[1].n == 0
+    found = {r.doc_id: r for r in keyed.collect()}
+    hashes = [{xxh64_intdigest(w) for w in d} for d in norm]
+    assert len(found) == len(rows)
+    for i, own in enumerate(hashes):
+        keys = [k % 2**64 for k in (found[i].k0, found[i].k1)]
+        assert set(keys) <= own if own else keys == [0, 0]
+        assert all(found[j].k0 == found[i].k0 for j, other in enumerate(hashes) if other == own)
 
 
 def test_packing_brings_distant_relatives_together(spark):
@@ -377,6 +385,30 @@ def test_warc(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_files(spark, tmp_path):
+    """Many small files and blocks of several members; the files read without an index; one gzip stream, and plain text."""
+    import gzip
+
+    rows = [(i, f"http://h/{i}", f"page {i % 40} " * (i % 7 + 1)) for i in range(300)] + [(None, None, None)] * 50 + [(7, "http://h/7", "same")] * 3
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    index = warc.write_archives(df, str(tmp_path / "a"), file_bytes=20_000)
+    blocks = index.collect()
+    assert len({b.file for b in blocks}) > 3 and all(gzip.decompress(open(b.file, "rb").read()[b.offset : b.offset + b.length])[:5] == b"WARC/" for b in blocks)
+    by_index, by_file = warc.read_records(index), warc.read_files(spark, str(tmp_path / "a"))
+    kinds = Counter(r.record_type for r in by_index.select("record_type").collect())
+    texts = {h or "" for _, _, h in rows}
+    assert kinds == {"request": 353, "metadata": 353, "response": len(texts), "revisit": 353 - len(texts)}
+    assert Counter(r.record_id for r in by_index.collect()) == Counter(r.record_id for r in by_file.collect()) and by_index.select("record_id").distinct().count() == 3 * 353
+    whole = b"".join(gzip.decompress(open(f, "rb").read()) for f in sorted({b.file for b in blocks}))
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "x.warc.gz").write_bytes(gzip.compress(whole))
+    (tmp_path / "one" / "y.warc").write_bytes(whole)
+    assert Counter(r.record_id for r in warc.read_files(spark, str(tmp_path / "one")).collect()) == Counter({r.record_id: 2 for r in by_index.collect()})
+    got = warc.assemble(Staged(spark).write(by_index, "t")).collect()
+    assert len(got) == 353 and sum(r.page_id is None for r in got) == 50 and all(r.request is not None and r.metadata is not None for r in got)
+    assert sorted((r.response.record_type, r.refers_to_page) for r in got if r.page_id == 7) == sorted([("response", None), ("revisit", 7), ("revisit", 7)] + [("response", None)])
+
+
 def test_sharding(spark):
     df = documents(spark).select("doc_id", "text").unionByName(odd_documents(spark).select("doc_id", "text"))
     got = sharding.shard_documents(df).collect()
