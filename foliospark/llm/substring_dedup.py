@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from .bpe import ranges, slices
 from .common import Staged, bound_batches, narrow, text_or_empty
-from .words import Windows, mix, sliding_min, split_words, word_hashes
+from .words import Windows, mix, sliding_min, split_words, wide_hashes
 
 _TEXT_BATCH = 4 << 20
 
 
-def anchor_table(words: np.ndarray, per_doc: np.ndarray, window: int) -> dict[str, np.ndarray]:
+def anchor_table(words: np.ndarray, other: np.ndarray, per_doc: np.ndarray, window: int) -> dict[str, np.ndarray]:
     """The first level: windows of a quarter of the length, at anchors.
 
     A window's anchor is the start of the smallest (by hash, then leftmost) of the quarter windows in it. It depends on
     the window's words alone, so equal windows have equal anchors, and the neighbours that share one are described by
     their first start, their number and the segment they cover. ``ahead`` and ``back`` are the windows of twice the
-    quarter that begin or end with it; at least one of the two lies inside each window of the anchor.
+    quarter that begin or end with it; at least one of the two lies inside each window of the anchor. ``words`` and ``other``
+    are independent hashes of the words; ``check`` is the segment by the other.
     """
     quarter = -(-window // 4)
     span = window - quarter + 1
@@ -27,7 +28,7 @@ def anchor_table(words: np.ndarray, per_doc: np.ndarray, window: int) -> dict[st
     fits = np.maximum(per_doc - window + 1, 0)
     starts = ranges(ends - per_doc, fits)
     if not len(starts):
-        return {k: np.empty(0, np.int64) for k in ("doc", "first", "number", "at", "ahead", "back", "segment")}
+        return {k: np.empty(0, np.int64) for k in ("doc", "first", "number", "at", "ahead", "back", "segment", "check")}
     w = Windows(words, window + span)
     q = w.all(quarter)
     bits = np.uint64((1 << 30) - 1)
@@ -41,6 +42,7 @@ def anchor_table(words: np.ndarray, per_doc: np.ndarray, window: int) -> dict[st
     half = np.full(len(at), 2 * quarter)
 
     segment = w.at(first, number - 1 + window)
+    check = Windows(other, window + span).at(first, number - 1 + window)
 
     def level(begins: np.ndarray, inside: np.ndarray, salt: int) -> np.ndarray:
         """Where the doubled window does not fit, the segment stands in for it, so that such rows spread out as others do."""
@@ -49,7 +51,7 @@ def anchor_table(words: np.ndarray, per_doc: np.ndarray, window: int) -> dict[st
 
     ahead = level(at, at + 2 * quarter <= first + number - 1 + window, 1)
     back = level(at - quarter, at - quarter >= first, 2)
-    as_long = {"at": q[at], "ahead": ahead, "back": back, "segment": segment}
+    as_long = {"at": q[at], "ahead": ahead, "back": back, "segment": segment, "check": check}
     return {"doc": doc, "first": first - begin, "number": number} | {k: v.view(np.int64) for k, v in as_long.items()}
 
 
@@ -57,10 +59,11 @@ def _anchors(window: int):
     def run(batches):
         for b in slices(batches, 2, _TEXT_BATCH):
             words, per_doc = split_words(b.column(2))
-            t = anchor_table(word_hashes(words), per_doc, window)
+            t = anchor_table(*wide_hashes(words), per_doc, window)
             doc = pa.array(t["doc"])
-            columns = [b.column(0).take(doc), b.column(1).take(doc), pa.array(t["first"].astype(np.int32)), pa.array(t["number"].astype(np.int32)), *(pa.array(t[k]) for k in ("at", "ahead", "back", "segment"))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "first", "number", "at", "ahead", "back", "segment"])
+            kinds = ["at", "ahead", "back", "segment", "check"]
+            columns = [b.column(0).take(doc), b.column(1).take(doc), pa.array(t["first"].astype(np.int32)), pa.array(t["number"].astype(np.int32)), *(pa.array(t[k]) for k in kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "first", "number", *kinds])
 
     return run
 
@@ -71,7 +74,7 @@ def _full_windows(window: int):
     def run(batches):
         for b in slices(batches, 2, _TEXT_BATCH):
             words, per_doc = split_words(b.column(2))
-            all_windows = Windows(word_hashes(words), window).all(window).view(np.int64)
+            both = [Windows(h, window).all(window).view(np.int64) for h in wide_hashes(words)]
             lists = b.column(3)
             at = lists.offsets.to_numpy()
             row = np.repeat(np.arange(b.num_rows), np.diff(at))
@@ -80,9 +83,10 @@ def _full_windows(window: int):
             alone = flat.field(2).to_numpy(zero_copy_only=False)
             start = ranges(first, number)
             row, alone = np.repeat(row, number), np.repeat(alone, number)
-            h = all_windows[(np.cumsum(per_doc) - per_doc)[row] + start]
+            at = (np.cumsum(per_doc) - per_doc)[row] + start
             rows = pa.array(row)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(start.astype(np.int32)), pa.array(alone), pa.array(h)], names=["doc_id", "mark", "first", "alone", "h"])
+            columns = [b.column(0).take(rows), b.column(1).take(rows), pa.array(start.astype(np.int32)), pa.array(alone), *(pa.array(h[at]) for h in both)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "first", "alone", "h", "check"])
 
     return run
 
@@ -110,14 +114,14 @@ def _cut(batches, verbatim: bool):
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text", *b.schema.names[3:]])
 
 
-def _repeated(df: DataFrame, col: str) -> DataFrame:
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(col)
+def _repeated(df: DataFrame, *cols: str) -> DataFrame:
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*cols)
 
 
 def repeated_spans(docs: DataFrame, st: Staged, window: int) -> DataFrame:
     """``doc_id, mark, first, words``: runs of words covered by repeated windows. ``docs`` has ``doc_id, mark, text``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, mark bigint, first int, number int, at bigint, ahead bigint, back bigint, segment bigint"
+    schema = f"doc_id {kind}, mark bigint, first int, number int, at bigint, ahead bigint, back bigint, segment bigint, check bigint"
     rows = st.write(docs.mapInArrow(_anchors(window), schema), "substring-anchors")
     # a quarter: what is repeated goes on
     quarter = st.write(_repeated(rows, "at"), "substring-quarter")
@@ -132,19 +136,23 @@ def repeated_spans(docs: DataFrame, st: Staged, window: int) -> DataFrame:
     st.drop(level1, half)
     # the whole segment: all windows of the anchor at once
     better = F.min(F.struct("doc_id", "mark", "first", "number"))
-    segments = st.write(level2.groupBy("at", "segment").agg(F.count(F.lit(1)).alias("n"), better.alias("one")), "substring-segments")
-    whole = level2.join(segments.where("n > 1").select("at", "segment"), ["at", "segment"])
+    segments = st.write(level2.groupBy("at", "segment", "check").agg(F.count(F.lit(1)).alias("n"), better.alias("one")), "substring-segments")
+    whole = level2.join(segments.where("n > 1").select("at", "segment", "check"), ["at", "segment", "check"])
     whole = whole.select("doc_id", "mark", "first", (F.col("number") + window - 1).alias("words"))
     # segments that stand alone, beside others with the same anchor: window by window
     mixed = segments.groupBy("at").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("at")
+    mixed = st.write(mixed, "substring-mixed")  # written, so that a frequent anchor's rows can be split between tasks
     left = segments.join(mixed, "at").select(F.col("one.doc_id").alias("doc_id"), F.col("one.mark").alias("mark"), F.struct("one.first", "one.number", (F.col("n") == 1).alias("alone")).alias("w"))
     left = left.groupBy("doc_id", "mark").agg(F.collect_list("w").alias("ws"))
     left = left.select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), "ws")
     texts = docs.join(left, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m"))).select("doc_id", "mark", "text", "ws")
-    full = st.write(texts.mapInArrow(_full_windows(window), f"doc_id {kind}, mark bigint, first int, alone boolean, h bigint"), "substring-windows")
-    single = full.where("alone").join(st.write(_repeated(full.select("doc_id", "mark", "first", "h").distinct(), "h"), "substring-full"), "h")
+    full = st.write(texts.mapInArrow(_full_windows(window), f"doc_id {kind}, mark bigint, first int, alone boolean, h bigint, check bigint"), "substring-windows")
+    twice = st.write(_repeated(full.select("doc_id", "mark", "first", "h", "check").distinct(), "h", "check"), "substring-full")
+    single = full.where("alone").join(twice, ["h", "check"])
     single = single.select("doc_id", "mark", "first", F.lit(window).alias("words"))
-    return st.write(whole.unionByName(single), "substring-spans")
+    spans = st.write(whole.unionByName(single), "substring-spans")
+    st.drop(level2, segments, mixed, full, twice)
+    return spans
 
 
 def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), verbatim: bool = False) -> DataFrame:
@@ -160,7 +168,8 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
     it for the anchors that are repeated; then the segment of all windows around an anchor, which one count settles for
     long copies; and the single full windows for segments that stand alone. Each level reads what the one before kept,
     from a written table, and counts are combined before they are shuffled, so a passage of any frequency costs a row
-    per task. Windows are compared by 64-bit hashes at each of these lengths. The spans of a text meet in one row, as
+    per task. The shorter windows are compared by 64-bit hashes, and a window goes only by what two independent ones of the
+    segment or of itself agree on. The spans of a text meet in one row, as
     many as it has anchors.
     """
     bound_batches(docs.sparkSession)

@@ -32,6 +32,16 @@ def word_hashes(words: pa.LargeStringArray) -> np.ndarray:
     return hashes[enc.indices.to_numpy(zero_copy_only=False)]
 
 
+def wide_hashes(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent halves of a 128-bit hash of each word."""
+    from xxhash import xxh3_128_digest
+
+    enc = words.dictionary_encode()
+    own = np.frombuffer(b"".join(map(xxh3_128_digest, byte_list(enc.dictionary))), np.uint64).reshape(-1, 2)
+    at = enc.indices.to_numpy(zero_copy_only=False)
+    return own[at, 0], own[at, 1]
+
+
 def mix(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
     x = a * _C1
     x += b
