@@ -320,13 +320,14 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     # first products: tiles
     found, at = None, cols.withColumn("label", F.col("c"))
     for r in range(rounds):
-        tiles = at.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / _TILE).alias("tiles"))
+        # written, so that the rows of a frequent column can be split between tasks
+        tiles = st.write(at.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / _TILE).alias("tiles")), "jaccard-column-tiles")
         column = at.groupBy("c").agg(F.min(F.struct(F.xxhash64("g", F.lit(r)), "g")).alias("x")).select("c", F.col("x.g").alias("g"))
         tile = F.xxhash64("g", F.pmod(F.xxhash64("c", F.lit(r)), F.col("tiles")))
         places = st.write(column.join(tiles, "g").select("c", tile.alias("k")), "jaccard-places")
         runs = sets(places).repartition("k").sortWithinPartitions("k", "c")
         new = st.write(runs.mapInArrow(_tiles(num, den), "a bigint, b bigint"), "jaccard-tiles")
-        st.drop(places)
+        st.drop(places, tiles)
         found = new if found is None else st.write(found.unionByName(new), "jaccard-tiles")
         label = components(found, st)
         before, at = at if r else None, _varied(cols.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c")), st)
