@@ -1,4 +1,5 @@
-"""WARC archives: records are written as text files of one gzip stream each, read back, and assembled by transaction."""
+"""WARC archives: records are written as gzip members of files of bounded size, read back block by block, and assembled
+by transaction."""
 
 from __future__ import annotations
 
@@ -6,12 +7,14 @@ import base64
 import gzip
 import hashlib
 import io
+import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Staged, narrow, new_path
+from .common import Staged, bound_batches, delete_path, narrow, new_path
 
 CRLF = "\r\n"
 #: Fixed values of the format.
@@ -32,8 +35,9 @@ def base32_sha1(payload: Column) -> Column:
     return F.concat(*[F.substring(F.lit(BASE32), i, F.lit(1)) for i in at])
 
 
-def _urn(kind: str, page: str, occ: str) -> Column:
-    m = F.md5(F.concat_ws("/", F.lit(kind), F.coalesce(F.col(page).cast("string"), F.lit("null")), F.col(occ).cast("string")))
+def _urn(kind: str, page: str, url: str, copy: str) -> Column:
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    m = F.md5(F.concat_ws("/", F.lit(kind), text(page), text(copy), text(url), F.col("payload_digest")))
     return F.concat(F.lit("<urn:uuid:"), *[x for i, (a, n) in enumerate(((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) for x in (([F.lit("-")] if i else []) + [F.substring(m, a, n)])], F.lit(">"))
 
 
@@ -43,45 +47,56 @@ def _record(headers: list[tuple[str, Column | str | None]], content_type: str, b
         if v is not None:
             c = F.concat(F.lit(f"{k}: "), v if isinstance(v, Column) else F.lit(v), F.lit(CRLF))
             lines.append(F.coalesce(c, F.lit("")))
-    lines += [F.lit(f"Content-Type: {content_type}{CRLF}Content-Length: "), F.octet_length(block).cast("string"), F.lit(CRLF * 2), block]
+    lines += [F.lit(f"Content-Type: {content_type}{CRLF}Content-Length: "), F.octet_length(block).cast("string"), F.lit(CRLF * 2), block, F.lit(CRLF * 2)]
     return F.concat(*lines)
 
 
-def plan_records(pages: DataFrame, min_payload: int) -> DataFrame:
-    """Each page with its digest and, for repeats of a payload, the page that has it first. Row numbers tell rows of the
-    same page_id apart."""
-    own = Window.partitionBy("page_id").orderBy("payload_digest", "url", "payload_bytes")
-    d = pages.select("page_id", "url", base32_sha1(F.col("html").cast("binary")).alias("payload_digest"), F.octet_length("html").cast("long").alias("payload_bytes"))
-    return d.withColumn("occ", F.row_number().over(own) - 1).withColumn("long_enough", F.col("payload_bytes") >= min_payload)
+_ROW = ["payload_digest", "payload_bytes", "page_id", "url"]
 
 
-def write_archives(pages: DataFrame, path: str, min_payload: int = 0, records_per_file: int = 4000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Write a request, a response or revisit, and a metadata record for each row of ``pages``.
+def plan_captures(pages: DataFrame, st: Staged, min_payload: int) -> DataFrame:
+    """A row per capture to write: ``page_id, url, payload_digest, payload_bytes, copy, html`` and, for revisits, which have no
+    html, ``first``, the page and URL of the response.
 
-    Of rows with equal payloads of ``min_payload`` bytes or more the smallest page_id (null last, then the first of its
-    repeated rows) is a response and the others are revisits of it. Null html is an empty payload; a null URL is left out
-    of the records. A file holds a bounded number of pages.
+    Who is the response is decided on rows without payloads, where rows repeated whole are one row with a count. Payloads
+    are shuffled once, rows repeated whole one per task, and only to meet the rows that need them.
+    """
+    d = pages.withColumn("payload_digest", base32_sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
+    keys = st.write(d.groupBy(*_ROW).agg(F.count(F.lit(1)).alias("copies")), "warc-keys")
+    rank = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("url").isNull().alias("no_url"), "url")
+    heads = st.write(keys.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest", "payload_bytes").agg(F.min(rank).alias("first")), "warc-heads")
+    mine = F.col("first.page_id").eqNullSafe(F.col("page_id")) & F.col("first.url").eqNullSafe(F.col("url"))
+    roles = keys.join(heads, ["payload_digest", "payload_bytes"], "left").withColumn("head", F.coalesce(F.col("first").isNull() | mine, F.lit(True)))
+    roles = st.write(roles, "warc-roles")
+    # revisits: every copy of other rows, and all copies but the first of a head
+    again = roles.where(F.col("first").isNotNull()).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).where("not head or copy > 0")
+    names = [*_ROW, "copy", "html", "first"]
+    again = again.withColumn("html", F.lit(None).cast("string")).select(*names)
+    # responses: the heads, and every copy of what is too short to be revisited
+    need = roles.where("head").select(*[F.col(c).alias(f"_{c}") for c in _ROW], F.when(F.col("first").isNull(), F.col("copies")).otherwise(F.lit(1)).alias("write"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _ROW]
+    whole = d.groupBy(*_ROW).agg(F.first("html").alias("html")).join(need, same)
+    whole = whole.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("write") - 1))).withColumn("first", F.lit(None).cast(roles.schema["first"].dataType))
+    return whole.select(*names).unionByName(again)
+
+
+def write_archives(pages: DataFrame, path: str, min_payload: int = 0, file_bytes: int = 256 << 20, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Write a request, a response or revisit, and a metadata record for each row of ``pages``; returns the index of what was
+    written: ``file, offset, length`` of blocks of whole gzip members, a member per record.
+
+    Of rows with equal payloads of ``min_payload`` bytes or more the smallest page_id (null last; then the smallest URL) is
+    a response and the others, its repetitions too, are revisits of it. Null html is an empty payload; a null URL is left
+    out of the records. The identifier is an integer. A file ends at the first record that takes it past ``file_bytes``.
+    The files of a task that is run again are written again under other names: what the index names counts.
     """
     spark = pages.sparkSession
     st = Staged(spark)
+    bound_batches(spark)
     p = narrow(pages, page_id=id_col, url=url_col, html=html_col)
-    p = p.select("page_id", F.regexp_replace("url", r"[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    plan = st.write(plan_records(p, min_payload), "warc-plan")
-    first = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "occ")).alias("first")
-    heads = st.write(plan.where("long_enough").groupBy("payload_digest", "payload_bytes").agg(first), "warc-heads")
-    # the decision of each row goes home by its page
-    roles = plan.join(heads, ["payload_digest", "payload_bytes"], "left")
-    same = F.col("first.page_id").eqNullSafe(F.col("page_id")) & (F.col("first.occ") == F.col("occ"))
-    roles = roles.select("page_id", "occ", "payload_digest", F.when(F.col("long_enough") & ~same, F.col("first")).alias("first"))
-    # the numbering and the join share one shuffle of the payloads: both are by k alone, the row's number is a condition
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    own = Window.partitionBy("k").orderBy("digest_here", "url", "payload_bytes")
-    rows = p.withColumn("k", key("page_id")).withColumn("digest_here", base32_sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    rows = rows.withColumn("n", F.row_number().over(own) - 1).drop("digest_here", "page_id")
-    roles = roles.withColumn("rk", key("page_id"))
-    rows = rows.join(roles, (F.col("k") == F.col("rk")) & (F.col("n") - F.col("occ") == 0))
-    rows = rows.withColumn("first_page", F.col("first.page_id")).withColumn("first_occ", F.col("first.occ")).withColumn("revisit", F.col("first").isNotNull())
-    rid, urn = _urn("response", "page_id", "occ"), lambda kind: _urn(kind, "page_id", "occ")
+    p = p.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace("url", r"[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    rows = plan_captures(p, st, min_payload).withColumn("revisit", F.col("first").isNotNull())
+    rows = rows.withColumns({"first_page": F.col("first.page_id"), "first_url": F.col("first.url"), "zero": F.lit(0).cast("long")})
+    rid, urn = _urn("response", "page_id", "url", "copy"), lambda kind: _urn(kind, "page_id", "url", "copy")
     digest = F.concat(F.lit("sha1:"), F.col("payload_digest"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(CRLF * 2))
     base = lambda kind, i: [("WARC-Type", kind), ("WARC-Record-ID", i), ("WARC-Date", SOFTWARE_DATE), ("WARC-Target-URI", F.col("url"))]
@@ -92,21 +107,64 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0, records_pe
     kind = F.when(F.col("revisit"), F.lit("revisit")).otherwise(F.lit("response"))
     more = [
         ("WARC-Profile", F.when(F.col("revisit"), F.lit(REVISIT_PROFILE))),
-        ("WARC-Refers-To", F.when(F.col("revisit"), _urn("response", "first_page", "first_occ"))),
+        ("WARC-Refers-To", F.when(F.col("revisit"), _urn("response", "first_page", "first_url", "zero"))),
         ("WARC-Payload-Digest", digest),
     ]
-    response = _record([*base(kind, rid), *more], "application/http; msgtype=response", F.concat(http, F.when(F.col("revisit"), F.lit("")).otherwise(F.col("html"))))
+    response = _record([*base(kind, rid), *more], "application/http; msgtype=response", F.concat(http, F.coalesce("html", F.lit(""))))
     fields = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(CRLF))
     metadata = _record([*base("metadata", urn("metadata")), ("WARC-Concurrent-To", rid)], "application/warc-fields", fields)
-    end = F.lit(CRLF * 2)
-    rows = rows.select(F.concat(request, end, response, end, metadata).alias("value"))
-    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    try:
-        rows.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
-    finally:
-        spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", before or "false")
-    st.drop(plan, heads)
+    index = st.write(rows.select(request.alias("a"), response.alias("b"), metadata.alias("c")).mapInArrow(_writer(path, file_bytes), INDEX_SCHEMA), "warc-index")
+    return index
+
+
+INDEX_SCHEMA = "file string, offset bigint, length bigint"
+
+
+def _file_system(path: str):
+    """The file system and the path on it, for workers: local, HDFS or an object store."""
+    from pyarrow import fs
+
+    uri = re.sub("^file:/+", "file:///", re.sub("^s3[an]:", "s3:", path))
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), path)
+
+
+def _writer(folder: str, file_bytes: int, block_bytes: int = 4 << 20):
+    def run(batches):
+        import uuid
+
+        system, at = _file_system(folder)
+        out, name, size, block, index = None, "", 0, 0, []
+        for batch in batches:
+            columns = [c.cast(pa.large_binary()) for c in batch.columns]
+            for record in (c[i].as_buffer() for i in range(batch.num_rows) for c in columns):
+                if out is None:
+                    system.create_dir(at, recursive=True)
+                    name, size, block = f"part-{uuid.uuid4().hex}.warc.gz", 0, 0
+                    out = system.open_output_stream(f"{at}/{name}", compression=None)
+                squeeze = zlib.compressobj(4, zlib.DEFLATED, 31)
+                member = squeeze.compress(record) + squeeze.flush()
+                out.write(member)
+                size += len(member)
+                if size - block >= block_bytes or size >= file_bytes:
+                    index.append((f"{folder}/{name}", block, size - block))
+                    block = size
+                if size >= file_bytes:
+                    out.close()
+                    out = None
+            if index:
+                yield _index(index)
+                index = []
+        if out is not None:
+            out.close()
+            if size > block:
+                yield _index([(f"{folder}/{name}", block, size - block)])
+
+    return run
+
+
+def _index(rows) -> pa.RecordBatch:
+    a, b, c = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int64()), pa.array(c, pa.int64())], names=["file", "offset", "length"])
 
 
 def iter_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -138,6 +196,7 @@ def _http(block: bytes) -> tuple[dict[bytes, bytes], bytes]:
 
 
 def _parse(batches, batch_bytes: int = 8 << 20):
+    """Records of blocks ``file, offset, length``; a block without a length is its whole file. Blocks are read as streams."""
     schema = pa.schema([
         ("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.string()),
         ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("file", pa.string()),
@@ -145,35 +204,50 @@ def _parse(batches, batch_bytes: int = 8 << 20):
     rows: list[tuple] = []
     held = 0
     for batch in batches:
-        for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            raw = content.as_buffer()
-            stream = io.BufferedReader(gzip.GzipFile(fileobj=pa.BufferReader(raw)) if raw[:2].to_pybytes() == b"\x1f\x8b" else pa.BufferReader(raw), 1 << 20)
-            for h, block in iter_records(stream):
-                kind, page, size, digest, payload = h.get("warc-type"), None, None, None, None
-                if kind in ("response", "revisit"):
-                    http, body = _http(block)
-                    if kind == "response":
-                        payload, size, digest = body, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()
-                        if (said := h.get("warc-payload-digest", "")) not in ("", f"sha1:{digest}"):
-                            raise ValueError(f"payload of {h.get('warc-record-id')} does not match {said}")
-                    else:
-                        size, digest = int(http.get(b"content-length", b"0")), h.get("warc-payload-digest", "").removeprefix("sha1:")
-                elif kind == "metadata":
-                    fields = dict(x.partition(":")[::2] for x in block.decode("utf-8", "replace").split(CRLF))
-                    page = int(v) if (v := fields.get("page-id", "").strip()) else None
-                rows.append((h.get("warc-record-id"), kind, h.get("warc-concurrent-to"), h.get("warc-target-uri"), h.get("warc-refers-to"), page, size, digest, payload, name))
-                held += len(block) + 300
-                if held > batch_bytes:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                    rows, held = [], 0
+        for name, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            system, at = _file_system(name)
+            with system.open_input_file(at) as whole:
+                whole.seek(offset or 0)
+                raw = whole if length is None else io.BytesIO(whole.read(length))
+                packed = raw.read(2) == b"\x1f\x8b"
+                raw.seek((offset or 0) if length is None else 0)
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw) if packed else raw, 1 << 20)
+                for h, block in iter_records(stream):
+                    rows.append((*_fields(h, block), name))
+                    held += len(block) + 300
+                    if held > batch_bytes:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows, held = [], 0
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def read_records(spark, path: str) -> DataFrame:
-    """One row per WARC record of the files under ``path`` (gzip, one or many members, or plain)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInArrow(_parse, RECORD_SCHEMA)
+def _fields(h: dict[str, str], block: bytes) -> tuple:
+    kind, page, size, digest, payload = h.get("warc-type"), None, None, None, None
+    if kind in ("response", "revisit"):
+        http, body = _http(block)
+        if kind == "response":
+            payload, size, digest = body, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()
+            if (said := h.get("warc-payload-digest", "")) not in ("", f"sha1:{digest}"):
+                raise ValueError(f"payload of {h.get('warc-record-id')} does not match {said}")
+        else:
+            size, digest = int(http.get(b"content-length", b"0")), h.get("warc-payload-digest", "").removeprefix("sha1:")
+    elif kind == "metadata":
+        fields = dict(x.partition(":")[::2] for x in block.decode("utf-8", "replace").split(CRLF))
+        page = int(v) if (v := fields.get("page-id", "").strip()) else None
+    return h.get("warc-record-id"), kind, h.get("warc-concurrent-to"), h.get("warc-target-uri"), h.get("warc-refers-to"), page, size, digest, payload
+
+
+def read_records(index: DataFrame) -> DataFrame:
+    """One row per WARC record of the blocks in ``index`` (``file, offset, length``)."""
+    return index.select("file", "offset", "length").repartition(F.xxhash64("file", "offset")).mapInArrow(_parse, RECORD_SCHEMA)
+
+
+def read_files(spark, path: str, glob: str = "*.warc*") -> DataFrame:
+    """One row per WARC record of the files under ``path`` (gzip, one or many members, or plain); a file is read as a stream
+    by one task."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return read_records(files.select(F.col("path").alias("file"), F.lit(0).cast("long").alias("offset"), F.lit(None).cast("long").alias("length")))
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -192,8 +266,13 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, min_payload: int = 0, **cols: str) -> DataFrame:
-    """Write the archives of ``pages`` to the shared folder, read them back and assemble the captures."""
+    """Write the archives of ``pages`` to the shared folder, read them back and assemble the captures. The archives go when
+    they have been read; what was read stays for the result."""
     spark = pages.sparkSession
     path = new_path(spark, "warc")
-    write_archives(pages, path, min_payload, **cols)
-    return assemble(Staged(spark).write(read_records(spark, path), "warc-records"))
+    st = Staged(spark)
+    index = write_archives(pages, path, min_payload, **cols)
+    records = st.write(read_records(index), "warc-records")
+    st.drop(index)
+    delete_path(spark, path)
+    return assemble(records)
