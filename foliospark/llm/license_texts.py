@@ -1,4 +1,4 @@
-"""Texts of short public licences, by SPDX identifier."""
+"""Texts of short public licences, and digests of longer ones, by SPDX identifier."""
 
 _WARRANTY = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
@@ -51,3 +51,27 @@ KNOWN: list[tuple[str, str]] = [
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0-notice", "Licensed under CC BY 4.0."),
 ]
+
+#: SHA-256 of the canonical form (``licenses.canonical``) of longer licences as they are published: the whole
+#: text, and where it has an appendix also the text down to the end of the terms.
+DIGESTS: list[tuple[str, str]] = [
+("Apache-2.0", "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543"),
+    ("Apache-2.0", "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b"),
+    ("GFDL-1.3", "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("LGPL-2.0", "9645df35bc8e107839fb024e61e6728ee32745a72194667211f31f7bad57b7d8"),
+    ("LGPL-2.0", "5b76795361ffca92776bfb6f87f31cc8c230526d08f639d965de248bd171ca59"),
+    ("LGPL-2.1", "a5875b4abd0df481e41a66665de9bea2d629872285f8f890c7ff03f4f87cb0ef"),
+    ("LGPL-2.1", "e8fff5aab68f3784c88bdf6c7d677d555dbfc3274d7e0a03da4870604bf989ed"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
+    ("MPL-2.0", "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d"),
+]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import narrow, text_or_empty
-from .license_texts import KNOWN
+from .license_texts import DIGESTS, KNOWN
 
 #: Spellings that count as equal, longest first where one contains another; applied to lower-case text.
 SPELLINGS = (
@@ -30,10 +30,11 @@ def canonical(text: Column) -> Column:
     return F.btrim(F.regexp_replace(t, PUNCTUATION, " "), F.lit(" "))
 
 
-def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN, digests: list[tuple[str, str]] = tuple(DIGESTS), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, canonical_sha256, canonical_chars, license_id`` (null where no licence has it).
 
-    ``known`` is a list, or a table ``license_id, text`` of any size; licences that become equal count as the first by
+    ``known`` is a list, or a table ``license_id, text`` of any size, ``digests`` a list of further licences by the SHA-256 of
+    their canonical form; licences that become equal count as the first by
     name, and those that become empty match nothing. Null text counts as empty and matches nothing. Repeated rows are
     matched each on its own. The list ships with the code, so its join side is as large as the code makes it and is
     broadcast; a table given by the caller is joined as Spark sees fit, with skew left to adaptive splitting.
@@ -41,8 +42,9 @@ def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KN
     spark = docs.sparkSession
     listed = not isinstance(known, DataFrame)
     k = spark.createDataFrame(list(known), "license_id string, text string") if listed else known.select("license_id", "text")
-    k = k.select("license_id", canonical(text_or_empty()).alias("c")).where("c <> ''")
-    k = k.groupBy(F.sha2("c", 256).alias("canonical_sha256")).agg(F.min("license_id").alias("license_id"))
+    k = k.select("license_id", canonical(text_or_empty()).alias("c")).where("c <> ''").select("license_id", F.sha2("c", 256).alias("canonical_sha256"))
+    k = k.unionByName(spark.createDataFrame(list(digests), "license_id string, canonical_sha256 string"))
+    k = k.groupBy("canonical_sha256").agg(F.min("license_id").alias("license_id"))
     d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", canonical(text_or_empty()).alias("c"))
     d = d.select("doc_id", F.sha2("c", 256).alias("canonical_sha256"), F.char_length("c").cast("long").alias("canonical_chars"))
     return d.join(F.broadcast(k) if listed else k, "canonical_sha256", "left").select("doc_id", "canonical_sha256", "canonical_chars", "license_id")

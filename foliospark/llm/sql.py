@@ -84,11 +84,12 @@ def _canonical(text: str) -> str:
 
 def license_scan() -> str:
     known = ", ".join(f"({_q(i)}, {_q(t)})" for i, t in licenses.KNOWN)
+    digests = ", ".join(f"({_q(i)}, {_q(t)})" for i, t in licenses.DIGESTS)
     return f"""
 WITH k0 AS (SELECT license_id, {_canonical('t')} AS c FROM (VALUES {known}) v(license_id, t)),
-k AS (SELECT c, min(license_id) AS license_id FROM k0 WHERE c <> '' GROUP BY c),
+k AS (SELECT h, min(license_id) AS license_id FROM (SELECT sha256(c) AS h, license_id FROM k0 WHERE c <> '' UNION ALL SELECT h, license_id FROM (VALUES {digests}) v(license_id, h)) GROUP BY h),
 d AS (SELECT doc_id, {_canonical("coalesce(text, '')")} AS c FROM documents)
-SELECT doc_id, sha256(d.c) AS canonical_sha256, length(d.c)::BIGINT AS canonical_chars, license_id FROM d LEFT JOIN k ON d.c = k.c"""
+SELECT doc_id, sha256(c) AS canonical_sha256, length(c)::BIGINT AS canonical_chars, license_id FROM d LEFT JOIN k ON sha256(c) = k.h"""
 
 
 def line_dedup(max_percent: int = 30, min_pages: int = 2) -> str:

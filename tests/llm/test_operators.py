@@ -359,6 +359,24 @@ def test_licenses(spark):
     assert licenses.scan_licenses(spark.createDataFrame([(1, "some  text.")], "doc_id bigint, text string"), table).first().license_id == "mine"
 
 
+def test_license_digests(spark):
+    """Texts of the licences, where the machine has them, with other case, spacing and owner."""
+    import os
+
+    folder = "/usr/share/common-licenses"
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    have = {f: i for f, i in files.items() if os.path.exists(f"{folder}/{f}")}
+    if not have:
+        pytest.skip("no licence texts here")
+    rows = []
+    for f, i in have.items():
+        t = open(f"{folder}/{f}", encoding="utf-8").read()
+        rows += [(i, t), (i, "Copyright 2031 Somebody Else\n\n" + t.upper().replace("\n", "\r\n  ")), (None, t + " and more")]
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id bigint, text string")
+    assert [r.license_id for r in licenses.scan_licenses(df).orderBy("doc_id").collect()] == [i for i, _ in rows]
+    assert licenses.scan_licenses(df.limit(0)).count() == 0
+
+
 def test_line_dedup(spark):
     rows = [(i, f"https://a.example/{i}", f"<p>menu</p><p>menu</p><p>text {i}</p><!-- x --><script>var a;</script>") for i in range(10)]
     rows += [(20, "https://b.example/", "<p>menu</p>"), (21, None, "<p>menu</p>"), (22, "https://A.example/x", None), (None, "https://a.example/z", "<div>rare</div>")]
