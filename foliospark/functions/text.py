@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 #: Devanagari digits, and the letters that readers take for digits or digits for letters.
@@ -125,6 +127,20 @@ def house_class(c) -> Column:
     return F.struct(weight.alias("weight"), kind.alias("kind"))
 
 
+def _has(*words: str):
+    return lambda t: reduce(lambda a, b: a | b, [F.contains(F.replace(t, F.lit(" "), F.lit("")), F.lit(w)) for w in words])
+
+
+#: The kinds of summary rows by the words in their labels, the first that fits.
+ROW_LABELS = [
+    ("net", _has("नेट", "इलेक्टर", "इलैक्टर")),
+    ("diff", _has("लिंग", "अंतर", "कारण")),
+    ("add", _has("वर्धन", "परिवधन", "परिवर्ध")),
+    ("del", _has("लोपन", "विलोप")),
+    ("mool", lambda t: _has("मूल")(t) | (_has("नामावली")(t) & ~_has("प्रकार", "पहचान")(t))),
+]
+
+
 def classify(c, rules: list[tuple[str, str]]) -> Column:
     """The label of the first rule (an SQL condition on ``t``) that holds, null without one."""
     out = F.lit(None).cast("string")

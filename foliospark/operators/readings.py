@@ -18,9 +18,10 @@ def row_confidence(readings: DataFrame, key: list[str]) -> DataFrame:
     return readings.groupBy(*key).agg(F.bround(F.min(F.coalesce("score", F.lit(0.0))), 3).alias("confidence"))
 
 
-def disagreement(readings: DataFrame, key: list[str], least: float = 0.5) -> DataFrame:
-    """More than one distinct text among the readings that are not empty and score ``least`` or more."""
-    use = F.when((F.col("score") >= least) & (F.col("text") != ""), F.col("text"))
+def disagreement(readings: DataFrame, key: list[str], least: float = 0.5, variant: str | None = None) -> DataFrame:
+    """More than one distinct text among the readings that are not empty and score ``least`` or more. ``variant`` names the
+    cut that was read: only the plain one, empty or ``#`` and a reader's number, counts."""
+    use = F.when((F.col("score") >= least) & (F.col("text") != "") & (F.regexp_like(F.coalesce(variant, F.lit("")), F.lit("^(#[0-9]+)?$")) if variant else F.lit(True)), F.col("text"))
     return readings.groupBy(*key).agg(F.count_distinct(use).alias("n_texts")).withColumn("disagree", F.col("n_texts") > 1)
 
 

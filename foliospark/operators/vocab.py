@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 RARE, STRONG, RATIO, SUB_RARE, SUB_RATIO, ENOUGH = 4, 8, 6, 2, 8, 4000
 #: Vowel signs; a consonant with a halant, either way round.
@@ -76,14 +78,20 @@ def corrections(vocabulary: DataFrame, enough: int = ENOUGH) -> DataFrame:
     return out.select("token", fixed.alias("fixed")).where("fixed is not null")
 
 
-def apply_corrections(rows: DataFrame, key: str, column: str, fixes: DataFrame) -> DataFrame:
-    """The column with corrected words, ``changes`` as ``a>b`` joined by semicolons, and whether there are any."""
+def apply_corrections(rows: DataFrame, key: str, column: str, fixes: DataFrame, rule: Callable[[str], str] | None = None) -> DataFrame:
+    """The column with corrected words, ``changes`` as ``a>b`` joined by semicolons, and whether there are any. ``rule`` is
+    applied to the corrected text, once for each distinct one, and counts as a change."""
     t = rows.select(key, F.posexplode(words(column)).alias("pos", "token")).join(fixes, "token", "left")
     done = t.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token", F.coalesce("fixed", "token").alias("fixed")))).alias("w"))
     log = F.transform(F.filter("w", lambda x: x["token"] != x["fixed"]), lambda x: F.concat(x["token"], F.lit(">"), x["fixed"]))
     done = done.select(key, F.array_join(F.transform("w", lambda x: x["fixed"]), " ").alias("_f"), F.array_join(log, "; ").alias("changes"))
     out = rows.join(done, key, "left").withColumn("changes", F.coalesce("changes", F.lit("")))
     changed = F.col("changes") != ""
+    if rule:
+        from ..functions.script import per_value
+
+        out = per_value(out.withColumn("_b", F.when(changed, F.col("_f")).otherwise(F.col(column))), "_b", "_f", rule).drop("_b")
+        return out.withColumn("vocab_fixed", changed | ~F.col("_f").eqNullSafe(F.col(column))).withColumn(column, F.col("_f")).drop("_f")
     return out.withColumn(column, F.when(changed, F.col("_f")).otherwise(F.col(column))).withColumn("vocab_fixed", changed).drop("_f")
 
 

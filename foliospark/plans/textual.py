@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import script
+from ..functions import script, text
 from ..operators import audit, grouping, reporting, restore, vocab
 from .relational import table
 
@@ -159,6 +159,24 @@ def name_rules_distinct(s, d):
     return script.per_value(_given(s, d, DAMAGED), "word", "cleaned", script.clean_name).select("c_custkey", "cleaned")
 
 
+#: Labels of summary rows, and their kinds.
+LABELS = {"नेट इलेक्टर": "net", "लिंग अनुपात": "diff", "परिवर्धन सूची": "add", "वि लोपन": "del", "मूल निर्वाचक": "mool", "नामावली": "mool", "नामावली का प्रकार": "", "योग": ""}
+
+
+@query(f"SELECT c_custkey, b AS kind FROM customer JOIN {_pairs_sql(LABELS)} v(i, a, b) ON i = c_custkey % {len(LABELS)}")
+def row_labels(s, d):
+    return _given(s, d, LABELS).select("c_custkey", F.coalesce(text.classify("word", text.ROW_LABELS), F.lit("")).alias("kind"))
+
+
+@query("SELECT c_custkey, 'ab' || right(c_name, 2) AS repaired FROM customer")
+def glyphs_repaired(s, d):
+    """Characters with their widths, the first two of which stand there twice, once without a width."""
+    glyph = lambda c, w: F.struct(c.alias("c"), F.lit(w).alias("w"))
+    tail = [F.substr(F.right("c_name", F.lit(2)), F.lit(i), F.lit(1)) for i in (1, 2)]
+    g = F.array(*[glyph(F.lit(c), w) for c, w in (("a", 0.0), ("b", 0.0), ("a", 5.0), ("b", 5.0))], *[glyph(t, 4.0) for t in tail])
+    return table(s, d, "customer").select("c_custkey", g.alias("g")).select("c_custkey", script.over_rows(script.drop_doubled_glyphs, "string", "g").alias("repaired"))
+
+
 #: Words of a lexicon, and tokens that lost letters with the word that they were (or stay).
 LEXICON = "त्यागी माध्यमिक गोवर्धन नम्बर इण्टर इन्टर विद्यालय".split()
 LOST = {"यागी": "त्यागी", "माधिमक": "माध्यमिक", "गोवधन": "गोवर्धन", "नबर": "नम्बर", "इटर": "इटर", "योगी": "योगी", "नम्बर": "नम्बर", "विदयालय": "विद्यालय", "न१र": "न१र"}

@@ -42,6 +42,12 @@ def inventory(spark: SparkSession, path: str, glob: str = "*.pdf", head: int = 5
     return f.select("path", "length", F.substring("content", 1, head).alias("head"))
 
 
+def listing(spark: SparkSession, path: str, glob: str = "*.pdf", recursive: bool = False) -> DataFrame:
+    """``path, length`` of the files in a folder, in natural order of their paths. The files are not opened."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob).load(path)
+    return f.select("path", "length").orderBy(natural_key("path"))
+
+
 def is_valid_file(length: str = "length", head: str = "head", least: int = 1024, magic: bytes = b"%PDF-") -> Column:
     return (F.col(length) >= least) & (F.col(head) == F.lit(magic))
 

@@ -8,14 +8,18 @@ from ..functions.text import safe_cell
 from ..operators.audit import replace_keys
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 0, compress: bool = False, partition_by: list[str] | None = None, guard: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0, compress: bool = False, partition_by: list[str] | None = None, guard: bool = False, mark: bool = False) -> None:
     """CSV with a header (also when there are no rows), null as empty. Array columns are joined by ``|``; with ``guard``
-    cells that would start a formula get a leading space. Spark writes no byte order mark."""
+    cells that would start a formula get a leading space; with ``mark`` each file
+    begins with a byte order mark, as part of the first column's name in the header."""
     cols = []
     for name, kind in df.dtypes:
         c = F.concat_ws("|", F.col(name)) if kind == "array<string>" else F.col(name)
         cols.append((safe_cell(c) if guard and kind == "string" else c).alias(name))
-    w = df.select(*cols).write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).option("emptyValue", "").option("nullValue", "")
+    out = df.select(*cols)
+    if mark:
+        out = out.toDF("\ufeff" + df.columns[0], *df.columns[1:])
+    w = out.write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).option("emptyValue", "").option("nullValue", "")
     if compress:
         w = w.option("compression", "gzip")
     if rows_per_file:

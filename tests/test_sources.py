@@ -35,6 +35,9 @@ def test_csv_upsert_and_info(spark, tmp_path):
     sinks.write_csv(df, str(tmp_path / "c"), rows_per_file=1, compress=True, guard=True)
     back = spark.read.csv(str(tmp_path / "c"), header=True)
     assert {(r.k, r.t, r.why) for r in back.collect()} == {("1", " =x", "a|b"), ("2", None, None)} and len(list((tmp_path / "c").glob("*.gz"))) >= 2
+    sinks.write_csv(df.coalesce(1), str(tmp_path / "m"), mark=True)
+    assert next((tmp_path / "m").glob("part-*.csv")).read_bytes().startswith(b"\xef\xbb\xbfk,t,why")
+    assert [r.path.rsplit("/", 1)[1] for r in readers.listing(spark, str(tmp_path), "part-*", recursive=True).collect()] and readers.listing(spark, str(tmp_path / "m"), "part-*").count() == 1
     root = str(tmp_path / "t")
     sinks.upsert(spark, root, None, "1", df.select("k", "t"), ["k"])
     new = sinks.upsert(spark, root, "1", "2", spark.createDataFrame([(2, "n"), (3, "m")], "k int, t string"), ["k"])
