@@ -51,33 +51,39 @@ def _record(headers: list[tuple[str, Column | str | None]], content_type: str, b
     return F.concat(*lines)
 
 
-_ROW = ["payload_digest", "payload_bytes", "page_id", "url"]
+#: What tells a row from others: without nulls, so that a grouping by these columns and a join on them share a shuffle.
+_ROW = ["payload_digest", "payload_bytes", "no_id", "some_id", "no_url", "some_url"]
 
 
 def plan_captures(pages: DataFrame, st: Staged, min_payload: int) -> DataFrame:
-    """A row per capture to write: ``page_id, url, payload_digest, payload_bytes, copy, html`` and, for revisits, which have no
-    html, ``first``, the page and URL of the response.
+    """A row per capture to write: ``page_id, url, payload_digest, payload_bytes, copy, html, revisit`` and for revisits, which
+    have no html, ``first_page, first_url`` of the response.
 
     Who is the response is decided on rows without payloads, where rows repeated whole are one row with a count. Payloads
     are shuffled once, rows repeated whole one per task, and only to meet the rows that need them.
     """
     d = pages.withColumn("payload_digest", base32_sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
+    d = d.withColumns({"no_id": F.col("page_id").isNull(), "some_id": F.coalesce("page_id", F.lit(0)), "no_url": F.col("url").isNull(), "some_url": F.coalesce("url", F.lit(""))})
     keys = st.write(d.groupBy(*_ROW).agg(F.count(F.lit(1)).alias("copies")), "warc-keys")
-    rank = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("url").isNull().alias("no_url"), "url")
-    heads = st.write(keys.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest", "payload_bytes").agg(F.min(rank).alias("first")), "warc-heads")
-    mine = F.col("first.page_id").eqNullSafe(F.col("page_id")) & F.col("first.url").eqNullSafe(F.col("url"))
-    roles = keys.join(heads, ["payload_digest", "payload_bytes"], "left").withColumn("head", F.coalesce(F.col("first").isNull() | mine, F.lit(True)))
+    heads = keys.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest", "payload_bytes").agg(F.min(F.struct(*_ROW[2:])).alias("first"))
+    heads = st.write(heads, "warc-heads")
+    mine = F.col("first") == F.struct(*_ROW[2:])
+    roles = keys.join(heads, ["payload_digest", "payload_bytes"], "left").withColumn("head", F.coalesce(mine, F.lit(True)))
     roles = st.write(roles, "warc-roles")
     # revisits: every copy of other rows, and all copies but the first of a head
     again = roles.where(F.col("first").isNotNull()).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).where("not head or copy > 0")
     names = [*_ROW, "copy", "html", "first"]
     again = again.withColumn("html", F.lit(None).cast("string")).select(*names)
     # responses: the heads, and every copy of what is too short to be revisited
-    need = roles.where("head").select(*[F.col(c).alias(f"_{c}") for c in _ROW], F.when(F.col("first").isNull(), F.col("copies")).otherwise(F.lit(1)).alias("write"))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _ROW]
-    whole = d.groupBy(*_ROW).agg(F.first("html").alias("html")).join(need, same)
+    need = roles.where("head").select(*_ROW, F.when(F.col("first").isNull(), F.col("copies")).otherwise(F.lit(1)).alias("write"))
+    whole = d.groupBy(*_ROW).agg(F.first("html").alias("html")).join(need, _ROW)
     whole = whole.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("write") - 1))).withColumn("first", F.lit(None).cast(roles.schema["first"].dataType))
-    return whole.select(*names).unionByName(again)
+    given = lambda at="": (F.when(~F.col(f"{at}no_id"), F.col(f"{at}some_id")), F.when(~F.col(f"{at}no_url"), F.col(f"{at}some_url")))
+    page, url = given()
+    first_page, first_url = given("first.")
+    return whole.select(*names).unionByName(again).select(
+        page.alias("page_id"), url.alias("url"), "payload_digest", "payload_bytes", "copy", "html", F.col("first").isNotNull().alias("revisit"), first_page.alias("first_page"), first_url.alias("first_url")
+    )
 
 
 def write_archives(pages: DataFrame, path: str, min_payload: int = 0, file_bytes: int = 256 << 20, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -94,8 +100,7 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0, file_bytes
     bound_batches(spark)
     p = narrow(pages, page_id=id_col, url=url_col, html=html_col)
     p = p.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace("url", r"[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = plan_captures(p, st, min_payload).withColumn("revisit", F.col("first").isNotNull())
-    rows = rows.withColumns({"first_page": F.col("first.page_id"), "first_url": F.col("first.url"), "zero": F.lit(0).cast("long")})
+    rows = plan_captures(p, st, min_payload).withColumn("zero", F.lit(0).cast("long"))
     rid, urn = _urn("response", "page_id", "url", "copy"), lambda kind: _urn(kind, "page_id", "url", "copy")
     digest = F.concat(F.lit("sha1:"), F.col("payload_digest"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(CRLF * 2))
@@ -239,8 +244,10 @@ def _fields(h: dict[str, str], block: bytes) -> tuple:
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """One row per WARC record of the blocks in ``index`` (``file, offset, length``)."""
-    return index.select("file", "offset", "length").repartition(F.xxhash64("file", "offset")).mapInArrow(_parse, RECORD_SCHEMA)
+    """One row per WARC record of the blocks in ``index`` (``file, offset, length``), a task for each block, or for several
+    where there are more than ten thousand."""
+    tasks = max(1, min(10_000, index.count()))
+    return index.select("file", "offset", "length").repartition(tasks, F.xxhash64("file", "offset")).mapInArrow(_parse, RECORD_SCHEMA)
 
 
 def read_files(spark, path: str, glob: str = "*.warc*") -> DataFrame:
