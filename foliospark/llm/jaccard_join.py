@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,8 +18,10 @@ _TEXT_BATCH = 4 << 20
 _ZERO = np.zeros(1, np.uint64)
 #: Most n-grams that are put last for being frequent. Their choice only orders columns; no result depends on it.
 _FREQUENT = 100_000
-#: Classes in a tile of the first products, and in a block of the last; members that a tile holds at once.
-_TILE, _BLOCK, _TILE_MEMBERS = 512, 1000, 4_000_000
+#: Classes in a tile of the first products; members that it holds at once.
+_TILE, _TILE_MEMBERS = 512, 4_000_000
+#: Rows of a tile of the last product, and classes that stand in one of its columns; entries held and pairs counted at once.
+_ROWS, _BLOCK, _HELD, _PAIRS = 512, 2000, 200_000, 2_000_000
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,15 +182,16 @@ def _forest(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> list[
     return [(ids[first(i)], ids[i]) for i in range(len(ids)) if first(i) != i]
 
 
-def _tiles(num: int, den: int):
-    """The product of each run of rows with one key, in tiles of bounded size."""
+def _tiles(n: int, num: int, den: int):
+    """The product of each run of rows ``k, c, text`` with one key, in tiles of bounded size."""
 
     def run(batches):
         now, ids, sets, held = None, [], [], 0
-        for b in batches:
-            keys, names, lists = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
-            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            out = []
+        for b in slices(batches, 2, _TEXT_BATCH):
+            keys, names = b.column(0).to_pylist(), b.column(1).to_pylist()
+            flat, count = shingle_sets(b.column(2), n)
+            at = np.r_[0, np.cumsum(count)]
+            flat, out = flat.view(np.int64), []
             for i, (k, c) in enumerate(zip(keys, names, strict=True)):
                 if k != now or len(ids) >= 2 * _TILE or held > _TILE_MEMBERS:
                     out += _forest(ids, sets, num, den)
@@ -203,7 +208,8 @@ def _tiles(num: int, den: int):
 
 
 def _products(num: int, den: int):
-    """A row of the last product: rows ``u, n, label, home, largest, block`` sorted by u, blocks of ``c, n, label`` of one column each.
+    """The tiles of the last product: rows ``k, buckets, r, mine, x, n, label, home, gs, largest`` sorted by the first three, of
+    which ``mine`` are rows of the tile with the columns they meet, and the others classes that stand in a column.
 
     Gives ``a, b, o, need``: o columns that the pair shares, of which at least ``need`` must be found over both its rows.
     A row meets the columns whose largest label is not its own; ``home`` is how many of its columns it does not meet. A
@@ -212,44 +218,87 @@ def _products(num: int, den: int):
     discarded.
     """
 
-    def finish(u, n, label, home, blocks):
-        c, m, other, mine = (np.concatenate(x) for x in zip(*blocks, strict=True))
-        use = (other != label) & (num * np.maximum(m, n) <= den * np.minimum(m, n))
-        c, first, at = np.unique(c[use], return_index=True, return_inverse=True)
-        m = m[use][first]
-        seen = np.bincount(at, minlength=len(c))
-        o = np.bincount(at, weights=mine[use], minlength=len(c)).astype(np.int64)
-        rest = np.maximum(-(-num * m // den), -(-num * n // den)) - 1
-        need = least_overlap(m, n, num, den) - rest
-        use = (o > 0) & (seen + home >= need)
-        return np.minimum(u, c[use]), np.maximum(u, c[use]), o[use], need[use]
-
-    def batch(found):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found, strict=True)], names=["a", "b", "o", "need"])
+    def flat(parts):
+        tile, mine = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        x, n, label, home, count = (np.concatenate([p[i] for p in parts]) for i in range(2, 7))
+        g, largest = (np.concatenate([p[i] for p in parts]) for i in (7, 8))
+        row = np.repeat(np.arange(len(x)), count)
+        # columns are those of a tile: one number for each tile and n-gram
+        order = np.lexsort((g, tile[row]))
+        new = np.r_[True, (g[order][1:] != g[order][:-1]) | (tile[row][order][1:] != tile[row][order][:-1])]
+        column = np.empty(len(g), np.int64)
+        column[order] = np.cumsum(new) - 1
+        block = np.flatnonzero(~mine[row])
+        block = block[np.argsort(column[block], kind="stable")]
+        size = np.bincount(column[block], minlength=int(new.sum()))
+        begin = np.cumsum(size) - size
+        ask = np.flatnonzero(mine[row])
+        many = size[column[ask]]
+        total, i = np.cumsum(many), 0
+        names, place = np.unique(x, return_inverse=True)
+        while i < len(ask):  # whole rows, some million pairs at a time
+            j = int(np.searchsorted(total, (total[i - 1] if i else 0) + _PAIRS, "right"))
+            j = max(j, i + 1)
+            while j < len(ask) and row[ask[j]] == row[ask[j - 1]]:
+                j += 1
+            e = ask[i:j]
+            u = np.repeat(e, many[i:j])
+            other = row[block[ranges(begin[column[e]], many[i:j])]]
+            own, top = row[u], largest[u]
+            use = (label[other] != label[own]) & (num * np.maximum(n[other], n[own]) <= den * np.minimum(n[other], n[own]))
+            own, other, top = own[use], other[use], top[use]
+            counts = (label[other] == top) | (x[other] > x[own])
+            i = j
+            if not len(own):
+                continue
+            code = np.sort((own * np.int64(len(names)) + place[other]) << 1 | counts)
+            first = np.flatnonzero(np.r_[True, code[1:] >> 1 != code[:-1] >> 1])
+            seen = np.diff(np.r_[first, len(code)])
+            o = np.add.reduceat(code & 1, first)
+            own, c = np.divmod(code[first] >> 1, len(names))
+            sizes = np.empty(len(names), np.int64)
+            sizes[place] = n
+            m, k, c = sizes[c], n[own], names[c]
+            rest = np.maximum(-(-num * m // den), -(-num * k // den)) - 1
+            need = least_overlap(m, k, num, den) - rest
+            use = (o > 0) & (seen + home[own] >= need)
+            if use.any():
+                a = x[own]
+                found = np.minimum(a, c)[use], np.maximum(a, c)[use], o[use], need[use]
+                yield pa.RecordBatch.from_arrays([pa.array(f.astype(np.int64)) for f in found], names=["a", "b", "o", "need"])
 
     def run(batches):
-        now, blocks = None, []
+        parts, held, last, number = [], 0, None, 0
         for b in batches:
-            out = []
-            heads = list(zip(*(b.column(i).to_pylist() for i in range(4)), strict=True))
-            largest, lists = b.column(4).to_pylist(), b.column(5)
-            at, flat = lists.offsets.to_numpy(), lists.values
-            fields = [flat.field(i).to_numpy() for i in range(3)]
-            for i, head in enumerate(heads):
-                if head != now:
-                    if blocks:
-                        out.append(finish(*now, blocks))
-                    now, blocks = head, []
-                c, m, other = (f[at[i] : at[i + 1]].copy() for f in fields)
-                blocks.append((c, m, other, (other == largest[i]) | (c > head[0])))
-            if out:
-                yield batch(out)
-        if blocks:
-            yield batch([finish(*now, blocks)])
+            if not b.num_rows:
+                continue
+            k, buckets, r = (b.column(i).to_numpy() for i in range(3))
+            new = np.r_[last != (k[0], buckets[0], r[0]), (k[1:] != k[:-1]) | (buckets[1:] != buckets[:-1]) | (r[1:] != r[:-1])]
+            tile, last, begin = number + np.cumsum(new), (k[-1], buckets[-1], r[-1]), 0
+            number = int(tile[-1])
+            for end in [*(np.flatnonzero(new) if held > _HELD else np.flatnonzero(new)[-1:]).tolist(), len(k)]:
+                if end > begin:
+                    part = b.slice(begin, end - begin)
+                    gs, ls = part.column(8), part.column(9)
+                    values = (part.column(i).to_numpy() for i in range(4, 8))
+                    count = pc.list_value_length(gs).to_numpy()
+                    parts.append((tile[begin:end], part.column(3).to_numpy(zero_copy_only=False), *values, count, gs.flatten().to_numpy(), ls.flatten().to_numpy()))
+                    held += int(count.sum())
+                if end < len(k) and held > _HELD:
+                    yield from flat(parts)
+                    parts, held = [], 0
+                begin = end
+        if parts:
+            yield from flat(parts)
 
     return run
 
 
+def _band(n, num: int, den: int):
+    """Sizes that a link allows are in one band or in neighbours (a little wide, for rounding)."""
+    return F.floor(F.log(n) / math.log(den / num * (1 + 1e-9))).cast("long")
+
+
 def _edges(rows):
     a, b = np.array(rows, np.int64).T
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -282,8 +331,9 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     on the overlap, two classes that link share a column of both prefixes. Columns of one class alone give no product and
     go first. First products: in each round a class goes with one of its columns to a tile of bounded size, tiles are
     multiplied whole and exactly, and what links is contracted, so of a large group of near copies little is left. Last
-    product: the columns' classes stand in blocks; a class that is not of its column's largest component meets these
-    blocks, not their members one by one, and adds up its counts over its columns. The counts of a pair's two rows, with
+    product: the columns' classes stand in blocks; a class that is not of its column's largest component meets them and
+    adds up its counts over its columns. Classes of like sizes that share their most frequent column make a tile, to which
+    a block goes once, with the sizes that can link, not once for each of its rows. The counts of a pair's two rows, with
     each column in one of them, are added; pairs below the overlap that their sizes ask for within the prefixes are
     discarded; the rest are counted exactly on their whole sets. No link between
     different components is left out, whatever a group's size; links within one are not looked for again.
@@ -309,12 +359,11 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     st.drop(rows, shared, counts)
     rows, one = slim, st.write(slim.where("n > 0").groupBy("c").agg(F.min(F.struct("doc_id", "mark")).alias("one")), "jaccard-one")
 
-    def sets(of: DataFrame) -> DataFrame:
-        """``k, c, hs`` for ``k, c``: the sets are made again from the texts, which take less disk than they."""
+    def texts(of: DataFrame) -> DataFrame:
+        """``k, c, text`` for ``k, c``: sets are made again from the texts, which take less disk than they."""
         need = one.join(of, "c").select("k", "c", F.col("one.doc_id").alias("i"), F.col("one.mark").alias("m"))
-        texts = d.join(need, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")))
-        same = texts.dropDuplicates(["c"]) if repeated else texts
-        return same.select("k", "c", "text").mapInArrow(_sets(n), "k bigint, c bigint, hs array<bigint>")
+        found = d.join(need, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")))
+        return (found.dropDuplicates(["c"]) if repeated else found).select("k", "c", "text")
 
     repeated = not rows.groupBy("doc_id", "mark").count().where("count > 1").isEmpty()
     # first products: tiles
@@ -325,8 +374,8 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
         column = at.groupBy("c").agg(F.min(F.struct(F.xxhash64("g", F.lit(r)), "g")).alias("x")).select("c", F.col("x.g").alias("g"))
         tile = F.xxhash64("g", F.pmod(F.xxhash64("c", F.lit(r)), F.col("tiles")))
         places = st.write(column.join(tiles, "g").select("c", tile.alias("k")), "jaccard-places")
-        runs = sets(places).repartition("k").sortWithinPartitions("k", "c")
-        new = st.write(runs.mapInArrow(_tiles(num, den), "a bigint, b bigint"), "jaccard-tiles")
+        runs = texts(places).repartition("k").sortWithinPartitions("k", "c")
+        new = st.write(runs.mapInArrow(_tiles(n, num, den), "a bigint, b bigint"), "jaccard-tiles")
         st.drop(places, tiles)
         found = new if found is None else st.write(found.unionByName(new), "jaccard-tiles")
         label = components(found, st)
@@ -334,21 +383,39 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
         if before is not None:
             st.drop(before)
     st.drop(cols)
-    # the last product: rows against blocks of columns
-    largest = at.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(F.max(F.struct("m", "label")).alias("x"), F.ceil(F.sum("m") / _BLOCK).alias("blocks"))
-    largest = st.write(largest.select("g", F.col("x.label").alias("largest"), "blocks"), "jaccard-largest")
-    at_all, at = at, at.join(largest, "g")
-    block = F.pmod(F.xxhash64("c"), F.col("blocks"))
-    blocks = at.groupBy("g", block.alias("b")).agg(F.collect_list(F.struct("c", "n", "label")).alias("block"))
-    home = at.where("label = largest").groupBy(F.col("c").alias("u")).agg(F.count(F.lit(1)).alias("home"))
-    rest = at.where("label <> largest").select("g", F.col("c").alias("u"), "n", "label", "largest").join(home, "u", "left")
-    meet = rest.join(blocks, "g").select("u", "n", "label", F.coalesce("home", F.lit(0)).alias("home"), "largest", "block").repartition("u").sortWithinPartitions("u")
-    parts = st.write(meet.mapInArrow(_products(num, den), "a bigint, b bigint, o bigint, need bigint"), "jaccard-product")
+    # the last product: tiles of rows against blocks of columns, each block once for a tile
+    largest = at.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("g").agg(F.max(F.struct("m", "label")).alias("x"), F.sum("m").alias("size"))
+    largest = st.write(largest.select("g", F.col("x.label").alias("largest"), "size"), "jaccard-largest")
+    met = st.write(at.join(largest, "g").withColumn("band", _band(F.col("n"), num, den)), "jaccard-met")
+    st.drop(at, largest)
+    blocks = F.ceil(F.col("size") / _BLOCK)
+    block = F.pmod(F.xxhash64("c"), blocks)
+    rest = F.col("label") != F.col("largest")
+    own = F.struct("g", "largest", "size")
+    rows_of = met.groupBy(F.col("c").alias("x"), "n", "label", "band").agg(
+        F.count(F.when(~rest, 1)).alias("home"), F.collect_list(F.when(rest, own)).alias("own"), F.max(F.when(rest, F.struct("size", "g"))).alias("top")
+    )
+    # rows that share their most frequent column go together
+    part = F.pmod(F.xxhash64("x"), F.ceil(F.col("top.size") / _ROWS))
+    rows_of = rows_of.where("top is not null").withColumns({"buckets": F.ceil(F.col("top.size") / _BLOCK), "k": F.xxhash64("top.g", "band", part)})
+    rows_of = st.write(rows_of.drop("top"), "jaccard-tile-rows")
+    asked = rows_of.select("k", "buckets", F.col("band").alias("mid"), F.explode("own").alias("o")).select("k", "buckets", "mid", "o.g", "o.size").distinct()
+    asked = st.write(asked, "jaccard-tile-columns")
+    near = F.explode(F.sequence(F.col("mid") - 1, F.col("mid") + 1))
+    asked_by = asked.withColumn("band", near).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    standing = met.select("g", "band", block.alias("block"), F.col("c").alias("x"), "n", "label").join(asked_by, ["g", "band", "block"])
+    one_column = F.array("g")
+    tiles = standing.select("k", "buckets", F.pmod(F.xxhash64("x"), F.col("buckets")).alias("r"), F.lit(False).alias("mine"), "x", "n", "label", F.lit(0).cast("long").alias("home"), one_column.alias("gs"), one_column.alias("largest"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1))
+    meeting = rows_of.select("k", "buckets", each.alias("r"), F.lit(True).alias("mine"), "x", "n", "label", "home", F.col("own.g").alias("gs"), F.col("own.largest").alias("largest"))
+    tiles = meeting.unionByName(tiles).repartition("k", "buckets", "r").sortWithinPartitions("k", "buckets", "r")
+    parts = st.write(tiles.mapInArrow(_products(num, den), "a bigint, b bigint, o bigint, need bigint"), "jaccard-product")
+    st.drop(met, rows_of, asked)
     whole = parts.groupBy(F.col("a").alias("cx"), F.col("b").alias("cy")).agg(F.sum("o").alias("o"), F.first("need").alias("need"))
     pairs = st.write(whole.where("o >= need").select("cx", "cy"), "jaccard-pairs")
-    st.drop(parts, at_all, largest)
+    st.drop(parts)
     both = pairs.select(F.explode(F.array("cx", "cy")).alias("c")).distinct().withColumn("k", F.lit(0).cast("long"))
-    of = st.write(sets(both).select("c", "hs"), "jaccard-sets")
+    of = st.write(texts(both).mapInArrow(_sets(n), "k bigint, c bigint, hs array<bigint>").select("c", "hs"), "jaccard-sets")
     hx, hy = (of.select(F.col("c").alias("c" + z), F.col("hs").alias("h" + z)) for z in "xy")
     links = st.write(pairs.join(hx, "cx").join(hy, "cy").select("cx", "cy", "hx", "hy").mapInArrow(_verify(num, den), "a bigint, b bigint"), "jaccard-links")
     st.drop(of, pairs, one)

@@ -311,6 +311,24 @@ def test_jaccard_links_of_drifting_groups(spark, monkeypatch, tile):
     assert got == dict(enumerate(roots))
 
 
+def phrases(n):
+    """Texts of common phrases only, whose rows meet many others without a link; a few have a near copy."""
+    rng = random.Random(5)
+    known = [" ".join(f"p{i}w{j}" for j in range(4)) for i in range(12)]
+    out = [" ".join(rng.choice(known) for _ in range(rng.choice([6, 6, 7, 9]))) for _ in range(n)]
+    return out + [t + " end" for t in out[: n // 20]]
+
+
+def test_jaccard_product_by_tiles(spark, monkeypatch):
+    """Many tiles, buckets and blocks of the last product, a few pairs at a time."""
+    for name, least in (("_ROWS", 16), ("_BLOCK", 30), ("_HELD", 200), ("_PAIRS", 500)):
+        monkeypatch.setattr(jaccard_join, name, least)
+    texts = phrases(250)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(df, 4, 17, 20).collect()}
+    assert got == dict(enumerate(classes(texts, 4, 17, 20)[1]))
+
+
 def test_jaccard_null_ids_and_repeats(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (1, "A b c d E f"), (None, None)]
     got = Counter(tuple(r) for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 17, 20).collect())
