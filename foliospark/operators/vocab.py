@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.shared import settled
+
 RARE, STRONG, RATIO, SUB_RARE, SUB_RATIO, ENOUGH = 4, 8, 6, 2, 8, 4000
 #: Vowel signs; a consonant with a halant, either way round.
 VOWEL_SIGNS = "ािीुूृेैोौ"
@@ -95,10 +97,52 @@ def apply_corrections(rows: DataFrame, key: str, column: str, fixes: DataFrame,
     return out.withColumn(column, F.when(changed, F.col("_f")).otherwise(F.col(column))).withColumn("vocab_fixed", changed).drop("_f")
 
 
-def _grams(word: str, q: Column, length: Column) -> Column:
-    """The distinct runs of ``q`` letters of a word."""
-    at = F.when(length >= q, F.sequence(F.lit(1), length - q + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(at, lambda i: F.substr(F.col(word), i, q)))
+#: Values and references in a tile of their product.
+_TILE = 2000
+
+
+def _alike(close: float, times: float):
+    """The pairs of a tile of values and references of one length whose matching ratio is ``close`` or more.
+
+    The letters that two words have in common, in any order, bound the ratio from above. They are counted for the whole
+    tile, letter by letter, and only pairs that this leaves are matched.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def counts(words: list[str], letters: np.ndarray) -> np.ndarray:
+        row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        at = np.searchsorted(letters, codes(words))
+        return np.bincount(at * len(words) + row, minlength=len(letters) * len(words)).reshape(len(letters), len(words)).astype(np.int32)
+
+    def codes(words: list[str]) -> np.ndarray:
+        return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+    def run(values: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
+        from ..functions.script import ratio
+
+        out = []
+        if len(values) and len(refs):
+            own, cbare = values["bare"].tolist(), refs["cbare"].tolist()
+            letters = np.unique(codes(own + cbare))
+            a, b = counts(own, letters), counts(cbare, letters)
+            la, lb = a.sum(0), b.sum(0)
+            m, cm = values["m"].to_numpy(), refs["cm"].to_numpy()
+            names, canon = values["merged"].tolist(), refs["canon"].tolist()
+            for i in range(0, len(own), 200):
+                x = a[:, i : i + 200]
+                common = np.zeros((x.shape[1], len(cbare)), np.int32)
+                for u, v in zip(x, b, strict=True):
+                    mine, theirs = np.flatnonzero(u), np.flatnonzero(v)
+                    if len(mine) and len(theirs):
+                        common[np.ix_(mine, theirs)] += np.minimum(u[mine, None], v[None, theirs])
+                fit = (2.0 * common / (la[i : i + 200, None] + lb[None, :]) >= close) & (cm[None, :] >= times * m[i : i + 200, None])
+                for p, q in zip(*(z.tolist() for z in np.nonzero(fit)), strict=True):
+                    if (r := ratio(own[i + p], cbare[q], True)) is not None and r >= close:
+                        out.append((names[i + p], canon[q], int(cm[q]), float(r)))
+        return pd.DataFrame(out, columns=["merged", "canon", "cm", "r"])
+
+    return run
 
 
 def canonical_spellings(values: DataFrame, column: str, least: int = 4, times: float = 1.5, close: float = 0.74) -> DataFrame:
@@ -108,26 +152,26 @@ def canonical_spellings(values: DataFrame, column: str, least: int = 4, times: f
     ``least`` times is a reference. Others take the reference with the best matching ratio of ``close`` or more that is
     ``times`` as frequent; on a tie the more frequent, then the smaller.
 
-    Values meet references by equality of length and a shared run of letters. The ratio bounds the length of a reference,
-    and the matching letters M of the two: at most la + lb - 2M others cut them into that many runs and one, so the
-    longest has ceil(M / (la + lb - 2M + 1)) letters; a run of that many, two at most, is the key. No pair is left out.
+    The ratio bounds the length of a reference. Values and references of a length meet in tiles of bounded size, where the
+    letters in common decide which pairs are matched. No pair is left out.
     """
-    from ..functions.script import ratio_column
-
     n = values.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    n = n.withColumn("bare", F.replace("value", F.lit(" "), F.lit("")))
+    n = settled(n.withColumn("bare", F.replace("value", F.lit(" "), F.lit(""))), "spellings")
     target = n.groupBy("bare").agg(F.max(F.struct(F.contains("value", F.lit(" ")).alias("spaced"), "n", "value")).alias("t"), F.sum("n").alias("total"))
     merged = target.select(F.col("t.value").alias("merged"), "bare", F.col("total").alias("m"), F.char_length("bare").alias("len"))
+    merged = settled(merged, "spellings")
     canon = merged.where(F.col("m") >= least).select(F.col("merged").alias("canon"), F.col("bare").alias("cbare"), F.col("m").alias("cm"), "len")
     low, high = close / (2 - close), (2 - close) / close
-    rest = merged.where(F.col("m") < least).withColumn("own", F.col("len"))
-    rest = rest.withColumn("len", F.explode(F.sequence(F.ceil(F.col("len") * low), F.floor(F.col("len") * high))))
-    same = F.ceil((F.col("own") + F.col("len")) * (close / 2))
-    rest = rest.withColumn("q", F.least(F.lit(2), F.greatest(F.lit(1), F.ceil(same / (F.col("own") + F.col("len") - 2 * same + 1)))).cast("int"))
-    rest = rest.withColumn("gram", F.explode(_grams("bare", F.col("q"), F.col("own"))))
-    by_gram = canon.withColumn("q", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("gram", F.explode(_grams("cbare", F.col("q"), F.col("len"))))
-    met = rest.join(by_gram, ["len", "q", "gram"]).where(F.col("cm") >= times * F.col("m")).select("merged", "bare", "canon", "cbare", "cm").distinct()
-    pairs = met.withColumn("r", ratio_column("bare", "cbare", True)).where(F.col("r") >= close)
+    rest = merged.where(F.col("m") < least)
+    rest = rest.withColumn("len", F.explode(F.sequence(F.ceil(F.col("len") * low).cast("int"), F.floor(F.col("len") * high).cast("int"))))
+    tiles = rest.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / _TILE).alias("parts")).join(canon.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / _TILE).alias("blocks")), "len")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    left = rest.join(tiles, "len").select("len", F.pmod(F.xxhash64("bare"), "parts").alias("part"), every("blocks").alias("block"), "merged", "bare", "m")
+    right = canon.join(tiles, "len").select("len", every("parts").alias("part"), F.pmod(F.xxhash64("cbare"), "blocks").alias("block"), "canon", "cbare", "cm")
+    key = ["len", "part", "block"]
+    n_tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a count of its own: small rows, much work
+    left, right = (x.repartition(n_tasks, *key) for x in (left, right))
+    pairs = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_alike(close, times), "merged string, canon string, cm bigint, r double")
     best = pairs.groupBy("merged").agg(F.min_by("canon", F.struct((-F.col("r")).alias("a"), (-F.col("cm")).alias("b"), "canon")).alias("canon"))
-    settled = merged.where(F.col("m") >= least).select("merged", F.col("merged").alias("canon")).unionByName(best)
-    return n.join(merged.select("bare", "merged"), "bare").join(settled, "merged").where("canon <> value").select("value", "canon")
+    chosen = merged.where(F.col("m") >= least).select("merged", F.col("merged").alias("canon")).unionByName(best)
+    return n.join(merged.select("bare", "merged"), "bare").join(chosen, "merged").where("canon <> value").select("value", "canon")
