@@ -51,6 +51,30 @@ def set_keys(h: np.ndarray, count: np.ndarray) -> np.ndarray:
     return (mix(sums[end] - sums[end - count], count.astype(np.uint64), 11) >> np.uint64(1)).view(np.int64)
 
 
+def bit_maps(h: np.ndarray, count: np.ndarray) -> pa.Array:
+    """A bit for each remainder of a set's members by its width: the power of two from its size, 64 at least. Null for empty sets."""
+    width = np.where(count > 0, np.maximum(64, 1 << np.frexp(np.maximum(count - 1, 1).astype(np.float64))[1].astype(np.int64)), 0)
+    begin = np.cumsum(width) - width
+    flags = np.zeros(int(width.sum()), bool)
+    flags[np.repeat(begin, count) + (h & np.repeat(width - 1, count).astype(np.uint64)).astype(np.int64)] = True
+    body = np.packbits(flags, bitorder="little")
+    offsets = np.r_[0, np.cumsum(width // 8)].astype(np.int32)
+    known = np.packbits(count > 0, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(count), [pa.py_buffer(known), pa.py_buffer(offsets), pa.py_buffer(body)])
+
+
+def most_common(p: bytes, q: bytes, m: int, n: int) -> int:
+    """No fewer members than two sets of sizes m and n have in common, by their ``bit_maps``: each bit that only one has
+    is a member at least that the other lacks. The wider map is folded to the width of the other."""
+    if len(p) > len(q):
+        p, q, m, n = q, p, n, m
+    a, b, width = int.from_bytes(p, "little"), int.from_bytes(q, "little"), 8 * len(q)
+    while width > 8 * len(p):
+        width //= 2
+        b = b >> width | b & (1 << width) - 1
+    return min(m - (a & ~b).bit_count(), n - (b & ~a).bit_count())
+
+
 def least_overlap(a, b, num: int, den: int):
     """Fewest common members of sets of sizes a and b whose Jaccard index is num / den or more (works on columns)."""
     return -((-num * (a + b)) // (num + den))
@@ -98,7 +122,8 @@ def _put_late(h: np.ndarray, late: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _columns(n: int, num: int, den: int, often: np.ndarray):
-    """Per text its set's key and size; and for the first text of a partition with that set, the columns of its prefix.
+    """Per text its set's key and size; and for the first text of a partition with that set, the columns of its prefix and
+    its bit map.
 
     The prefix is all but the last ``ceil(t |A|) - 1`` members in the order (frequent later, then hash): two sets of that
     index share a member of both prefixes.
@@ -117,6 +142,7 @@ def _columns(n: int, num: int, den: int, often: np.ndarray):
             doc = np.repeat(np.arange(len(count)), count)
             use = fresh[doc]
             h, doc = h[use], doc[use]
+            bits = bit_maps(h, np.where(fresh, count, 0))
             if len(often):
                 at = np.minimum(np.searchsorted(often, h.view(np.int64)), len(often) - 1)
                 late = often[at] == h.view(np.int64)
@@ -126,7 +152,7 @@ def _columns(n: int, num: int, den: int, often: np.ndarray):
             begin = np.cumsum(size) - size
             g = h[ranges(begin, prefix)].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(prefix)].astype(np.int32)), pa.array(g))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys), pa.array(count.astype(np.int64)), lists], names=["doc_id", "mark", "c", "n", "gs"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys), pa.array(count.astype(np.int64)), lists, bits], names=["doc_id", "mark", "c", "n", "gs", "bits"])
 
     return run
 
@@ -304,6 +330,19 @@ def _edges(rows):
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
+def _possible(num: int, den: int):
+    """Of pairs ``cx, cy, nx, ny, bx, by`` those whose bit maps do not rule out that they link."""
+
+    def run(batches):
+        for b in batches:
+            m, n = b.column(2).to_numpy(), b.column(3).to_numpy()
+            most = zip(b.column(4).to_pylist(), b.column(5).to_pylist(), m.tolist(), n.tolist(), strict=True)
+            o = np.fromiter((most_common(*x) for x in most), np.int64, b.num_rows)
+            yield b.select([0, 1]).filter(pa.array(den * o >= num * (m + n - o)))
+
+    return run
+
+
 def _verify(num: int, den: int):
     def run(batches):
         for b in batches:
@@ -335,7 +374,8 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     adds up its counts over its columns. Classes of like sizes that share their most frequent column make a tile, to which
     a block goes once, with the sizes that can link, not once for each of its rows. The counts of a pair's two rows, with
     each column in one of them, are added; pairs below the overlap that their sizes ask for within the prefixes are
-    discarded; the rest are counted exactly on their whole sets. No link between
+    discarded, then those whose bit maps (``bit_maps``) show more differences than a link allows; the rest are counted
+    exactly on their whole sets. No link between
     different components is left out, whatever a group's size; links within one are not looked for again.
     Which n-grams are frequent, and so come last in a prefix, is counted over all texts; it changes the work, never the
     result. Sets are compared by 64-bit hashes of their members, classes by a 63-bit key with the size.
@@ -350,12 +390,13 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     counts = d.select("text").mapInArrow(_frequent(n, 1 / 500), "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
     counts = st.write(counts, "jaccard-counts")
     often = np.sort(np.array([r.g for r in counts.orderBy(F.desc("n"), "g").limit(_FREQUENT).collect()], np.int64))
-    rows = st.write(d.mapInArrow(_columns(n, num, den, often), f"doc_id {kind}, mark bigint, c bigint, n bigint, gs array<bigint>"), "jaccard-rows")
+    rows = st.write(d.mapInArrow(_columns(n, num, den, often), f"doc_id {kind}, mark bigint, c bigint, n bigint, gs array<bigint>, bits binary"), "jaccard-rows")
     # columns that more than one class has
     cols = rows.select(F.explode("gs").alias("g"), "c", "n")
     shared = st.write(cols.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g"), "jaccard-shared")
     cols = st.write(cols.join(shared, "g").distinct(), "jaccard-columns")
     slim = st.write(rows.select("doc_id", "mark", "c", "n"), "jaccard-classes")
+    maps = st.write(rows.where("bits is not null").select("c", "n", "bits"), "jaccard-maps")
     st.drop(rows, shared, counts)
     rows, one = slim, st.write(slim.where("n > 0").groupBy("c").agg(F.min(F.struct("doc_id", "mark")).alias("one")), "jaccard-one")
 
@@ -414,6 +455,13 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_
     whole = parts.groupBy(F.col("a").alias("cx"), F.col("b").alias("cy")).agg(F.sum("o").alias("o"), F.first("need").alias("need"))
     pairs = st.write(whole.where("o >= need").select("cx", "cy"), "jaccard-pairs")
     st.drop(parts)
+    # bit maps, some hundredth of the sets in size, leave few pairs but those that link
+    one_map = st.write(maps.join(pairs.select(F.explode(F.array("cx", "cy")).alias("c")).distinct(), "c", "left_semi").dropDuplicates(["c"]), "jaccard-pair-maps")
+    mx, my = (one_map.select(F.col("c").alias("c" + z), F.col("n").alias("n" + z), F.col("bits").alias("b" + z)) for z in "xy")
+    mapped = pairs.join(mx, "cx").join(my, "cy").select("cx", "cy", "nx", "ny", "bx", "by")
+    possible = st.write(mapped.mapInArrow(_possible(num, den), "cx bigint, cy bigint"), "jaccard-possible")
+    st.drop(pairs, maps, one_map)
+    pairs = possible
     both = pairs.select(F.explode(F.array("cx", "cy")).alias("c")).distinct().withColumn("k", F.lit(0).cast("long"))
     of = st.write(texts(both).mapInArrow(_sets(n), "k bigint, c bigint, hs array<bigint>").select("c", "hs"), "jaccard-sets")
     hx, hy = (of.select(F.col("c").alias("c" + z), F.col("hs").alias("h" + z)) for z in "xy")

@@ -329,6 +329,44 @@ def test_jaccard_product_by_tiles(spark, monkeypatch):
     assert got == dict(enumerate(classes(texts, 4, 17, 20)[1]))
 
 
+def test_jaccard_bit_maps_rule_out_no_link():
+    rng = np.random.default_rng(5)
+    sets = [np.zeros(0, np.uint64)]
+    for size in (1, 2, 3, 63, 64, 65, 200, 1000, 5000):
+        base = rng.integers(1 << 63, size=2 * size).astype(np.uint64)
+        sets += [np.unique(base[int(at * size) : size]) for at in (0, 0.05, 0.2)] + [np.unique(base[int(at * size) : int((at + 1) * size)]) for at in (0.1, 0.5, 1)]
+    count = np.array([len(x) for x in sets])
+    maps = jaccard_join.bit_maps(np.concatenate(sets), count).to_pylist()
+    assert maps[0] is None and all(8 <= len(m) <= max(8, n / 4) for m, n in zip(maps[1:], count[1:], strict=True))
+    some = [i for i in range(len(sets)) if count[i]]
+    for i in some:
+        for j in some:
+            common = len(np.intersect1d(sets[i], sets[j]))
+            most = jaccard_join.most_common(maps[i], maps[j], int(count[i]), int(count[j]))
+            assert common <= most
+            assert common or count[i] < 63 or 5 * most < 4 * (count[i] + count[j] - most)
+
+
+def test_jaccard_pairs_that_cannot_link_move_no_sets(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=9))
+    rows = []
+    for _ in range(100):  # three texts with one five-word shingle of four in common
+        start = [word() for _ in range(5)]
+        rows += [(len(rows) + i, " ".join(start + [word() for _ in range(3)])) for i in range(3)]
+    moved, write = {}, Staged.write
+
+    def counted(self, df, tag):
+        out = write(self, df, tag)
+        moved[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(Staged, "write", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 5, 4, 5).collect()}
+    assert got == {i: i for i, _ in rows}
+    assert moved["jaccard-pairs"] > 0 and moved["jaccard-sets"] == 0
+
+
 def test_jaccard_null_ids_and_repeats(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (1, "A b c d E f"), (None, None)]
     got = Counter(tuple(r) for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 17, 20).collect())
