@@ -39,8 +39,9 @@ def _runs(x: np.ndarray) -> np.ndarray:
 class Lexicon:
     """Statistics of the whole corpus: how many documents it has, their mean length, and how many hold each word.
 
-    The ``most`` words that most documents hold are listed; a word that is not counts as held by as many documents as the
-    rarest listed one, or by one where all words of two documents or more are listed.
+    The ``most`` words that most documents hold are listed. Those of two documents or more that are rarer than the rarest
+    listed one come with the documents (``rare_words``) and are told by ``told``; of the others that documents share each is
+    in as many as the rarest listed one.
     """
 
     def __init__(self, n_docs: int, n_words: int, words: np.ndarray, counts: np.ndarray, most: int):
@@ -48,13 +49,21 @@ class Lexicon:
         self.n, self.mean = n_docs, max(1.0, n_words / max(1, n_docs))
         self.words, self.counts = words[order], counts[order]
         self.other = int(counts.min()) if len(words) >= most else 1
+        self.rare = self.rare_counts = np.empty(0, np.int64)
+
+    def told(self, rare: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """The rare words to know from now on, with how many documents hold each."""
+        g, n = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*rare, strict=True)) if rare else [np.empty(0, np.int64)] * 2
+        g, first = np.unique(g.view(np.uint64), return_index=True)
+        self.rare, self.rare_counts = g, n[first]
 
     def idf(self, hashes: np.ndarray) -> np.ndarray:
         """Of each word."""
         df = np.full(len(hashes), self.other, np.float64)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-            df = np.where(self.words[at] == hashes, self.counts[at], df)
+        for words, counts in ((self.words, self.counts), (self.rare, self.rare_counts)):
+            if len(words):
+                at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+                df = np.where(words[at] == hashes, counts[at], df)
         return np.log1p((self.n - df + 0.5) / (df + 0.5))
 
 
@@ -123,16 +132,80 @@ def _added(seen):
 
 def survey(docs: DataFrame, st: Staged, most: int = 1 << 18, n_keys: int = 2) -> tuple[DataFrame, Lexicon]:
     """``doc_id, text, k0, k1`` of the documents (``doc_id, text``), written, and their lexicon; of its words at most ``most``
-    reach the driver."""
+    reach the driver. The first has the counts of all words as ``_counts``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = [f"k{i}" for i in range(n_keys)]
     both = st.write(docs.mapInArrow(_survey(n_keys), f"kind int, doc_id {kind}, text string, {', '.join(f'{k} bigint' for k in names)}, g bigint, n bigint"), "packing-survey")
     counts = st.write(both.where("kind < 3").groupBy("kind", "g").agg(F.sum("n").alias("n")), "packing-counts")
     totals = {r.kind: r.n for r in counts.where("kind > 0").collect()}
     top = counts.where("kind = 0 and n > 1").orderBy(F.desc("n"), "g").limit(most).select("g", "n").toArrow()
-    st.drop(counts)
     g, n = (top.column(i).combine_chunks().to_numpy() for i in range(2))
-    return both.where("kind = 3").select("doc_id", "text", *names), Lexicon(totals.get(1, 0), totals.get(2, 0), g.view(np.uint64), n, most)
+    keyed = both.where("kind = 3").select("doc_id", "text", *names)
+    keyed._counts = counts
+    return keyed, Lexicon(totals.get(1, 0), totals.get(2, 0), g.view(np.uint64), n, most)
+
+
+def _unlisted(listed: np.ndarray):
+    """Per document, after its other columns, the distinct words that are not listed."""
+
+    def run(batches):
+        for b in slices(batches, 0, _TEXT_BATCH):
+            words, per_doc = split_words(b.column(0))
+            enc = words.dictionary_encode()
+            own = lexical_hashes(enc.dictionary)
+            new = own != 0
+            if len(listed):
+                new &= listed[np.minimum(np.searchsorted(listed, own), len(listed) - 1)] != own
+            which = enc.indices.to_numpy(zero_copy_only=False)
+            use = new[which]
+            h, at = np.unique(own[new], return_inverse=True)
+            number = np.zeros(len(own), np.int64)
+            number[new] = at
+            size = max(1, len(h))
+            pairs = np.unique(np.repeat(np.arange(len(per_doc)), per_doc)[use] * np.int64(size) + number[which[use]])
+            doc, at = np.divmod(pairs, size)
+            ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=len(per_doc)))].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[at].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], lists], names=[*b.schema.names[1:], "gs"])
+
+    return run
+
+
+def rare_words(keyed: DataFrame, counts: DataFrame, order: list[str], lexicon: Lexicon, st: Staged) -> DataFrame | None:
+    """``rare`` for the columns ``order`` of ``keyed``: the words that two documents or more hold and fewer than hold the rarest
+    listed one, each ``g`` with their number ``n``, of each document that has some. None where there are no such words."""
+    if lexicon.other <= 2:
+        return None
+    kinds = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in order)
+    own = st.write(keyed.select("text", *order).mapInArrow(_unlisted(lexicon.words), f"{kinds}, gs array<bigint>").where("size(gs) > 0"), "packing-unlisted")
+    who = F.xxhash64("doc_id", "mark").alias("who")  # rows with one number are told the words of all, which does no harm
+    few = counts.where(f"kind = 0 and n > 1 and n < {lexicon.other}").select("g", "n")
+    told = own.select(who, F.explode("gs").alias("g")).join(few, "g").groupBy("who").agg(F.collect_set(F.struct("g", "n")).alias("rare"))
+    out = st.write(own.select(who, *order).join(told, "who").select(*order, "rare"), "packing-rare")
+    st.drop(own)
+    return out
+
+
+class Told:
+    """Rows ``doc_id, text`` of batches ``doc_id, text, rare``, in which a document's rare words come in a row before it, without
+    text; and the words of the last batches, which are enough for the documents not yet given."""
+
+    def __init__(self, batches):
+        self.batches, self.rare = batches, []
+
+    def __iter__(self):
+        for b in self.batches:
+            flat = b.column(2).flatten()
+            g, n = (x.to_numpy(zero_copy_only=False) for x in flat.flatten())
+            self.rare.append((g, n))
+            if b.column(1).null_count:
+                b = b.filter(b.column(1).is_valid())
+            if b.num_rows:
+                yield b.select([0, 1])
+
+    def forget(self) -> None:
+        """What batches before the last two told."""
+        del self.rare[:-2]
 
 
 class Index:
@@ -240,7 +313,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 4096, end_id:
 
     One pass counts over the whole table how many documents hold each word (``Lexicon``) and gives each document two of
     its words as lexical keys (``lexical_keys``). The table is dealt out in ranges of (keys, identifier, text, place): documents that
-    share many words become neighbours wherever they stood, and a key of any frequency is split over ranges, rows repeated whole too. A shard of
+    share many words become neighbours wherever they stood, and a key of any frequency is split over ranges, rows repeated whole too. The
+    counts of the ``listed`` most frequent words go to all tasks, those of rarer ones with the documents that hold them. A shard of
     the index is at most ``shard_bytes`` of text of a range; its BM25 weights are those of the whole corpus, and a query asks
     for all words that the document shares in its shard. What the keys do not bring together is not found.
     """
@@ -248,10 +322,17 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 4096, end_id:
     bound_batches(spark)
     d = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    keyed, lexicon = survey(d, Staged(spark), listed)
+    st = Staged(spark)
+    keyed, lexicon = survey(d, st, listed)
+    counts = keyed._counts
     order = ["k0", "k1", "doc_id", "mark", "place"]  # the place in the written table parts rows that are repeated whole
     keyed = keyed.withColumns({"mark": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
-    d = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    rare = rare_words(keyed, counts, order, lexicon, st)
+    st.drop(counts)
+    d = keyed.select(*order, "text", F.lit(None).cast("array<struct<g:bigint,n:bigint>>").alias("rare"))
+    if rare is not None:
+        d = d.unionByName(rare.withColumn("text", F.lit(None).cast("string")))
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order, F.col("text").isNotNull()).select("doc_id", "text", "rare")
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def run(batches):
@@ -259,8 +340,11 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 4096, end_id:
 
         enc = encoder(vocabulary, lexical_hashes)
         sequence = TaskContext.get().partitionId() << 32
-        for shard in shards(batches, shard_bytes):
+        told = Told(batches)
+        for shard in shards(told, shard_bytes):
             enc.trim()
+            lexicon.told(told.rare)
+            told.forget()
             parts = [enc.encode_words(b.column(1)) for b in slices(shard, 1, 2 << 20)]
             ids, counts, words, per_doc = (np.concatenate(x) for x in zip(*parts, strict=True))
             lengths = counts + 1

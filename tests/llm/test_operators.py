@@ -220,6 +220,29 @@ def test_packing_counts_the_whole_corpus(spark):
         assert all(found[j].k0 == found[i].k0 for j, other in enumerate(hashes) if other == own)
 
 
+def test_packing_knows_the_counts_of_words_beyond_the_listed(spark):
+    from xxhash import xxh64_intdigest
+
+    df = documents(spark)
+    rows = df.collect()
+    norm = {r.doc_id: {w for x in SPLIT.findall(r.text or "") if (w := x.strip(packing._MARKS).encode().lower())} for r in rows}
+    held = Counter(w for d in norm.values() for w in d)
+    st = Staged(spark)
+    docs = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed, lexicon = packing.survey(docs, st, most=40)
+    counts, keyed = keyed._counts, keyed.withColumn("mark", F.xxhash64("text"))
+    got = packing.rare_words(keyed, counts, ["doc_id", "mark"], lexicon, st).collect()
+    told = {r.doc_id: {(x.g % 2**64, x.n) for x in r.rare} for r in got}
+    want = {i: {(xxh64_intdigest(w), held[w]) for w in d if 1 < held[w] < lexicon.other} for i, d in norm.items()}
+    assert lexicon.other > 2 and told == {i: w for i, w in want.items() if w}
+    lexicon.told([(np.array([x.g for r in got for x in r.rare]), np.array([x.n for r in got for x in r.rare]))])
+    words = [w for w in held if held[w] > 1]
+    n = np.array([held[w] for w in words])
+    assert np.allclose(lexicon.idf(np.array([xxh64_intdigest(w) for w in words], np.uint64)), np.log1p((lexicon.n - n + 0.5) / (n + 0.5)))
+    packs = [sorted(map(tuple, packing.pack_documents(df, WORD, window=512, shard_bytes=shard, listed=most).collect())) for shard in (60_000, 6 << 20) for most in (40, 1 << 18)]
+    assert packs[0] == packs[1] and packs[2] == packs[3]
+
+
 def test_packing_brings_distant_relatives_together(spark):
     """Copies with a few changed words stand far apart in the table and yet, mostly, in one window."""
     rng = random.Random(2)
