@@ -25,12 +25,34 @@ def lexical_hashes(distinct: pa.LargeStringArray) -> np.ndarray:
     """A hash of each word without marks at its ends; 0 where nothing is left."""
     from xxhash import xxh64_intdigest
 
-    own = byte_list(pc.ascii_lower(pc.ascii_trim(distinct, characters=_MARKS)))
-    out = np.fromiter(map(xxh64_intdigest, own), np.uint64, len(own))
-    out[np.fromiter(map(len, own), np.int64, len(own)) == 0] = 0
+    bare = pc.ascii_lower(pc.ascii_trim(distinct, characters=_MARKS))
+    out = np.fromiter(map(xxh64_intdigest, byte_list(bare)), np.uint64, len(bare))
+    out[pc.binary_length(bare).to_numpy(zero_copy_only=False) == 0] = 0
     return out
 
 
+def _packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Runs of ``sizes`` values each, as the bytes of one row each."""
+    body = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((np.r_[0, np.cumsum(sizes)] * body.itemsize).astype(np.int32)), pa.py_buffer(body)])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of rows that ``_packed`` has made, and how many each has."""
+    column = pc.fill_null(column, b"")
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    body = column.buffers()[2]
+    raw = np.frombuffer(body, np.uint8)[at[0] : at[-1]] if body is not None and len(column) else np.empty(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), kind), np.diff(at) // np.dtype(kind).itemsize
+
+
+def _among(sorted_words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes are among the words."""
+    if not len(sorted_words):
+        return np.zeros(len(hashes), bool)
+    return sorted_words[np.minimum(np.searchsorted(sorted_words, hashes), len(sorted_words) - 1)] == hashes
+
+
 def _runs(x: np.ndarray) -> np.ndarray:
     """Where the distinct values of a sorted array begin."""
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.empty(0, np.int64)
@@ -51,6 +73,13 @@ class Lexicon:
         self.other = int(counts.min()) if len(words) >= most else 1
         self.rare = self.rare_counts = np.empty(0, np.int64)
 
+    def add(self, words: np.ndarray, counts: np.ndarray) -> None:
+        """More words to list, which leave the rarest of the others as it is."""
+        new = ~_among(self.words, words)
+        words, counts = np.r_[self.words, words[new]], np.r_[self.counts, counts[new]]
+        order = np.argsort(words)
+        self.words, self.counts = words[order], counts[order]
+
     def told(self, rare: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """The rare words to know from now on, with how many documents hold each."""
         g, n = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*rare, strict=True)) if rare else [np.empty(0, np.int64)] * 2
@@ -88,15 +117,21 @@ def lexical_keys(h: np.ndarray, long: np.ndarray, which: np.ndarray, per_doc: np
     return keys
 
 
-def _survey(n_keys: int):
-    """Each document again with its keys, as rows of kind 3; and of this partition's documents how many hold word g (kind 0), how
-    many there are (1), and their words (2), in ``n``. One pass over the texts gives both."""
+#: A row's place is the number of its task, shifted by so many bits, and its number there.
+_PLACE_BITS = 33
 
-    def batch(kind, doc_id, text, keys, g, n):
-        return pa.RecordBatch.from_arrays([kind, doc_id, text, *keys, g, n], names=["kind", "doc_id", "text", *(f"k{i}" for i in range(n_keys)), "g", "n"])
+
+def _survey(n_keys: int, common: np.ndarray, buckets: int):
+    """Each document again with its keys, its place and its distinct words that are not ``common``, as rows of kind 3; and of
+    this task's documents how many hold each word (kind 0, a row for each bucket of words, numbers in ``ns``), how many there
+    are (1) and how many words they have (2), in ``place``. One pass over the texts gives all."""
 
     def run(batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
         seen, texts, total, types = [], 0, 0, None
+        names = ["kind", "doc_id", "text", *(f"k{i}" for i in range(n_keys)), "place", "bucket", "gs", "ns"]
         for b in slices(batches, 1, _TEXT_BATCH):
             words, per_doc = split_words(b.column(1))
             enc = words.dictionary_encode()
@@ -104,23 +139,31 @@ def _survey(n_keys: int):
             long = pc.greater_equal(pc.binary_length(enc.dictionary), 4).to_numpy(zero_copy_only=False)
             keys = lexical_keys(own, long, which, per_doc, n_keys)
             types, rows = [c.type for c in b.columns], b.num_rows
-            none = pa.nulls(rows, pa.int64())
-            yield batch(pa.array(np.full(rows, 3, np.int32)), b.column(0), b.column(1), map(pa.array, keys), none, none)
             h, at = np.unique(own, return_inverse=True)
-            pairs = np.sort(np.repeat(np.arange(len(per_doc)) * len(h), per_doc) + at[which])
-            seen.append((h, np.bincount(pairs[_runs(pairs)] % max(1, len(h)), minlength=len(h))))
+            size = max(1, len(h))
+            pairs = np.sort(np.repeat(np.arange(len(per_doc)) * size, per_doc) + at[which])
+            doc, word = np.divmod(pairs[_runs(pairs)], size)
+            seen.append((h, np.bincount(word, minlength=len(h))))
+            use = ~(_among(common, h) | (h == 0))[word]
+            gs = _packed(h[word[use]], np.bincount(doc[use], minlength=rows))
+            place = (task << _PLACE_BITS) + texts + np.arange(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(rows, 3, np.int32)), b.column(0), b.column(1), *map(pa.array, keys), pa.array(place), pa.nulls(rows, pa.int32()), gs, pa.nulls(rows, pa.binary())], names=names)
             texts, total = texts + rows, total + int(per_doc.sum())
             if len(seen) > 16:
                 seen = [_added(seen)]
         if texts:
             h, n = _added(seen)
-            real = h != 0
-            n = np.r_[n[real], texts, total].astype(np.int64)
-            kind = np.r_[np.zeros(len(n) - 2), 1, 2].astype(np.int32)
-            g = np.r_[h[real].view(np.int64), 0, 0]
-            for i in range(0, len(n), 1 << 18):
-                j = min(len(n), i + (1 << 18))
-                yield batch(pa.array(kind[i:j]), pa.nulls(j - i, types[0]), pa.nulls(j - i, types[1]), [pa.nulls(j - i, pa.int64())] * n_keys, pa.array(g[i:j]), pa.array(n[i:j]))
+            h, n = h[h != 0], n[h != 0]
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            sizes = np.bincount(bucket, minlength=buckets)
+            some = np.flatnonzero(sizes)
+            kind = np.r_[np.zeros(len(some)), 1, 2].astype(np.int32)
+            sizes, rows = np.r_[sizes[some], 0, 0], len(kind)
+            gs, ns = _packed(h[order], sizes), _packed(n[order], sizes)
+            place = np.r_[np.full(len(some), task << _PLACE_BITS), texts, total]
+            none = [pa.nulls(rows, types[0]), pa.nulls(rows, types[1]), *[pa.nulls(rows, pa.int64())] * n_keys]
+            yield pa.RecordBatch.from_arrays([pa.array(kind), *none, pa.array(place), pa.array(np.r_[some, 0, 0].astype(np.int32)), gs, ns], names=names)
 
     return run
 
@@ -130,60 +173,142 @@ def _added(seen):
     return h, np.bincount(at, weights=np.concatenate([n for _, n in seen]), minlength=len(h)).astype(np.int64)
 
 
+def _held(batches):
+    """``g, n``: how many of these documents hold each word."""
+    for b in slices(batches, 0, _TEXT_BATCH):
+        words, per_doc = split_words(b.column(0))
+        enc = words.dictionary_encode()
+        own = lexical_hashes(enc.dictionary)
+        h, at = np.unique(own, return_inverse=True)
+        pairs = np.unique(np.repeat(np.arange(len(per_doc)) * max(1, len(h)), per_doc) + at[enc.indices.to_numpy(zero_copy_only=False)])
+        n = np.bincount(pairs % max(1, len(h)), minlength=len(h))
+        yield pa.RecordBatch.from_arrays([pa.array(h[h != 0].view(np.int64)), pa.array(n[h != 0])], names=["g", "n"])
+
+
+def common_words(docs: DataFrame, most: int, sample: int = 4096) -> np.ndarray:
+    """Hashes of at most ``most`` words, those of a sample of about ``sample`` documents that most of them hold. They are not
+    written with each document, but listed with exact counts: the sample decides how a word's count is told, not the count."""
+    rows = docs.count()
+    some = docs.select("text") if rows <= sample else docs.select("text").sample(sample / rows, seed=1)
+    top = some.mapInArrow(_held, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "g").limit(most)
+    return np.sort(top.select("g").toArrow().column(0).combine_chunks().to_numpy().view(np.uint64))
+
+
+def _totals(most: int, common: np.ndarray):
+    """Of the words of whole buckets that two documents or more hold, with their number: the ``most`` most frequent (kind 0), the
+    ``common`` (5), and for each task of the survey those it has met (4, packed)."""
+
+    def run(batches):
+        parts = [(*_unpacked(b.column(1), np.uint64), _unpacked(b.column(2), np.int64)[0], b.column(0).to_numpy()) for b in batches]
+        if not parts:
+            return
+        g, n = np.concatenate([x[0] for x in parts]), np.concatenate([x[2] for x in parts])
+        task = np.concatenate([np.repeat(x[3] >> _PLACE_BITS, x[1]) for x in parts])
+        words, at = np.unique(g, return_inverse=True)
+        total = np.bincount(at, weights=n, minlength=len(words)).astype(np.int64)
+        names = ["kind", "place", "g", "n", "gs", "ns"]
+        shared = np.flatnonzero(total > 1)
+        top = shared if len(shared) <= most else shared[np.lexsort((words[shared].view(np.int64), -total[shared]))[:most]]
+        for kind, own in ((0, top), (5, shared[_among(common, words[shared])])):
+            for i in range(0, len(own), 1 << 18):
+                x = own[i : i + (1 << 18)]
+                none = pa.nulls(len(x), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.nulls(len(x), pa.int64()), pa.array(words[x].view(np.int64)), pa.array(total[x]), none, none], names=names)
+        use = total[at] > 1
+        task, at = task[use], at[use]
+        order = np.argsort(task, kind="stable")
+        task, at = task[order], at[order]
+        first = _runs(task)
+        sizes, none = np.diff(np.r_[first, len(task)]), pa.nulls(len(first), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), 4, np.int32)), pa.array(task[first] << _PLACE_BITS), none, none, _packed(words[at], sizes), _packed(total[at], sizes)], names=names)
+
+    return run
+
+
 def survey(docs: DataFrame, st: Staged, most: int = 1 << 18, n_keys: int = 2) -> tuple[DataFrame, Lexicon]:
-    """``doc_id, text, k0, k1`` of the documents (``doc_id, text``), written, and their lexicon; of its words at most ``most``
-    reach the driver. The first has the counts of all words as ``_counts``."""
+    """``doc_id, text, k0, k1, place, gs`` of the documents (``doc_id, text``), written, and their lexicon; of its words at most
+    ``most`` and a quarter reach the driver. The first has the counts of all words as ``_counts``."""
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = [f"k{i}" for i in range(n_keys)]
-    both = st.write(docs.mapInArrow(_survey(n_keys), f"kind int, doc_id {kind}, text string, {', '.join(f'{k} bigint' for k in names)}, g bigint, n bigint"), "packing-survey")
-    counts = st.write(both.where("kind < 3").groupBy("kind", "g").agg(F.sum("n").alias("n")), "packing-counts")
-    totals = {r.kind: r.n for r in counts.where("kind > 0").collect()}
-    top = counts.where("kind = 0 and n > 1").orderBy(F.desc("n"), "g").limit(most).select("g", "n").toArrow()
-    g, n = (top.column(i).combine_chunks().to_numpy() for i in range(2))
-    keyed = both.where("kind = 3").select("doc_id", "text", *names)
+    common = common_words(docs, most // 4)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = st.write(docs.mapInArrow(_survey(n_keys, common, buckets), f"kind int, doc_id {kind}, text string, {', '.join(f'{k} bigint' for k in names)}, place bigint, bucket int, gs binary, ns binary"), "packing-survey")
+    own = both.where("kind = 0").select("bucket", "place", "gs", "ns").repartition(buckets, "bucket").select("place", "gs", "ns")
+    counts = st.write(own.mapInArrow(_totals(most, common), "kind int, place bigint, g bigint, n bigint, gs binary, ns binary"), "packing-counts")
+    totals = {r.kind: r.n for r in both.where("kind in (1, 2)").groupBy("kind").agg(F.sum("place").alias("n")).collect()}
+
+    def told(df):
+        t = df.select("g", "n").toArrow()
+        g, n = (t.column(i).combine_chunks().to_numpy() for i in range(2))
+        return g.view(np.uint64), n
+
+    words, left = counts.where("kind = 0"), most
+    for r in words.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        least = r.n
+        if r.words >= left:
+            break
+        left -= r.words
+    else:
+        least = 1  # all are listed
+    listed = zip(told(words.where(f"n > {least}")), told(words.where(f"n = {least}").orderBy("g").limit(left)), strict=True)
+    lexicon = Lexicon(totals.get(1, 0), totals.get(2, 0), *map(np.concatenate, listed), most)
+    lexicon.add(*told(counts.where(f"kind = 5 and n < {lexicon.other}")))
+    keyed = both.where("kind = 3").select("doc_id", "text", *names, "place", "gs")
     keyed._counts = counts
-    return keyed, Lexicon(totals.get(1, 0), totals.get(2, 0), g.view(np.uint64), n, most)
+    return keyed, lexicon
 
 
-def _unlisted(listed: np.ndarray):
-    """Per document, after its other columns, the distinct words that are not listed."""
+def _rare(below: int, n_order: int):
+    """Rows of a task of the survey, first what is told of its words (``first`` 0), then its documents: of these the columns of
+    the order and the words that fewer than ``below`` documents hold, of each that has some."""
 
     def run(batches):
-        for b in slices(batches, 0, _TEXT_BATCH):
-            words, per_doc = split_words(b.column(0))
-            enc = words.dictionary_encode()
-            own = lexical_hashes(enc.dictionary)
-            new = own != 0
-            if len(listed):
-                new &= listed[np.minimum(np.searchsorted(listed, own), len(listed) - 1)] != own
-            which = enc.indices.to_numpy(zero_copy_only=False)
-            use = new[which]
-            h, at = np.unique(own[new], return_inverse=True)
-            number = np.zeros(len(own), np.int64)
-            number[new] = at
-            size = max(1, len(h))
-            pairs = np.unique(np.repeat(np.arange(len(per_doc)), per_doc)[use] * np.int64(size) + number[which[use]])
-            doc, at = np.divmod(pairs, size)
-            ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=len(per_doc)))].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[at].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], lists], names=[*b.schema.names[1:], "gs"])
+        task, parts, words, n = None, [], None, None
+        for b in batches:
+            tasks, first = b.column(0).to_numpy(), b.column(1).to_numpy()
+            cuts = _runs(tasks * 2 + first)
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), b.num_rows], strict=True):
+                if tasks[i] != task:
+                    task, parts, words = tasks[i], [], None
+                x = b.slice(i, j - i)
+                gs, sizes = _unpacked(x.column(n_order + 2), np.uint64)
+                if not first[i]:
+                    ns, _ = _unpacked(x.column(n_order + 3), np.int64)
+                    parts.append((gs[ns < below], ns[ns < below]))
+                    continue
+                if words is None:
+                    words, n = (np.concatenate([np.empty(0, k), *(p[c] for p in parts)]) for c, k in enumerate((np.uint64, np.int64)))
+                    order = np.argsort(words)
+                    words, n = words[order], n[order]
+                if not len(words):
+                    continue
+                at = np.minimum(np.searchsorted(words, gs), len(words) - 1)
+                hit = words[at] == gs
+                held = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[hit], minlength=len(sizes))
+                some = held > 0
+                pair = pa.StructArray.from_arrays([pa.array(gs[hit].view(np.int64)), pa.array(n[at[hit]])], names=["g", "n"])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(held[some])].astype(np.int32)), pair)
+                docs = x.filter(pa.array(some))
+                yield pa.RecordBatch.from_arrays([*docs.columns[2 : n_order + 2], lists], names=[*b.schema.names[2 : n_order + 2], "rare"])
 
     return run
 
 
 def rare_words(keyed: DataFrame, counts: DataFrame, order: list[str], lexicon: Lexicon, st: Staged) -> DataFrame | None:
     """``rare`` for the columns ``order`` of ``keyed``: the words that two documents or more hold and fewer than hold the rarest
-    listed one, each ``g`` with their number ``n``, of each document that has some. None where there are no such words."""
+    listed one, each ``g`` with their number ``n``, of each document that has some. None where there are no such words.
+
+    Each task of the survey is told of the words it has met, and looks them up in its documents: a row for a task and a
+    bucket of words, and one for a document."""
     if lexicon.other <= 2:
         return None
     kinds = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in order)
-    own = st.write(keyed.select("text", *order).mapInArrow(_unlisted(lexicon.words), f"{kinds}, gs array<bigint>").where("size(gs) > 0"), "packing-unlisted")
-    who = F.xxhash64("doc_id", "mark").alias("who")  # rows with one number are told the words of all, which does no harm
-    few = counts.where(f"kind = 0 and n > 1 and n < {lexicon.other}").select("g", "n")
-    told = own.select(who, F.explode("gs").alias("g")).join(few, "g").groupBy("who").agg(F.collect_set(F.struct("g", "n")).alias("rare"))
-    out = st.write(own.select(who, *order).join(told, "who").select(*order, "rare"), "packing-rare")
-    st.drop(own)
-    return out
+    task = F.shiftright("place", _PLACE_BITS).alias("_task")
+    docs = keyed.select(task, F.lit(1).alias("_first"), *order, F.col("gs").alias("_gs"), F.lit(None).cast("binary").alias("_ns")).where("length(_gs) > 0")
+    told = counts.where("kind = 4").select(task, F.lit(0).alias("_first"), *(F.lit(None).cast(keyed.schema[c].dataType).alias(c) for c in order), F.col("gs").alias("_gs"), F.col("ns").alias("_ns"))
+    own = docs.unionByName(told).repartition("_task").sortWithinPartitions("_task", "_first")
+    return st.write(own.mapInArrow(_rare(lexicon.other, len(order)), f"{kinds}, rare array<struct<g:bigint,n:bigint>>"), "packing-rare")
 
 
 class Told:
@@ -325,8 +450,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 4096, end_id:
     st = Staged(spark)
     keyed, lexicon = survey(d, st, listed)
     counts = keyed._counts
-    order = ["k0", "k1", "doc_id", "mark", "place"]  # the place in the written table parts rows that are repeated whole
-    keyed = keyed.withColumns({"mark": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    order = ["k0", "k1", "doc_id", "mark", "place"]  # the place parts rows that are repeated whole
+    keyed = keyed.withColumn("mark", F.xxhash64("text"))
     rare = rare_words(keyed, counts, order, lexicon, st)
     st.drop(counts)
     d = keyed.select(*order, "text", F.lit(None).cast("array<struct<g:bigint,n:bigint>>").alias("rare"))
@@ -345,7 +470,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 4096, end_id:
             enc.trim()
             lexicon.told(told.rare)
             told.forget()
-            parts = [enc.encode_words(b.column(1)) for b in slices(shard, 1, 2 << 20)]
+            parts = [enc.encode_words(pa.chunked_array([b.column(1) for b in shard]))]
             ids, counts, words, per_doc = (np.concatenate(x) for x in zip(*parts, strict=True))
             lengths = counts + 1
             stream = np.full(len(ids) + len(counts), end_id, "<u4")

@@ -243,6 +243,47 @@ def test_packing_knows_the_counts_of_words_beyond_the_listed(spark):
     assert packs[0] == packs[1] and packs[2] == packs[3]
 
 
+def test_packing_lists_whole_classes_of_counts(spark):
+    """Five words in three documents, three in two: listed are as many as asked for, the most frequent first."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g"), (3, "a b c d e h x")], "doc_id bigint, text string")
+    for most, want in ((4, [3] * 4), (5, [3] * 5), (6, [2] + [3] * 5), (8, [2] * 3 + [3] * 5), (9, [2] * 3 + [3] * 5)):
+        lexicon = packing.survey(docs, Staged(spark), most=most)[1]
+        assert sorted(lexicon.counts.tolist()) == want and lexicon.other == (1 if most == 9 else want[0])
+
+
+@pytest.mark.parametrize("common", ["none", "half", "rarest"])
+def test_packing_tells_rare_words_by_tasks(spark, monkeypatch, common):
+    """Whatever words a sample lists, each document's words get their own counts, from one reading of the texts and without a
+    row for each word of a document."""
+    from xxhash import xxh64_intdigest
+
+    rows = documents(spark).collect()
+    norm = {r.doc_id: {xxh64_intdigest(w) for x in SPLIT.findall(r.text or "") if (w := x.strip(packing._MARKS).encode().lower())} for r in rows}
+    held = Counter(w for d in norm.values() for w in d)
+    shared = sorted(w for w in held if held[w] > 1)
+    chosen = {"none": [], "half": shared[::2], "rarest": [w for w in shared if held[w] == 2]}[common]
+    monkeypatch.setattr(packing, "common_words", lambda docs, most: np.array(chosen, np.uint64))
+    plans = {}
+
+    class Watched(Staged):
+        def write(self, df, tag):
+            plans[tag] = df._jdf.queryExecution().executedPlan().toString()
+            return super().write(df, tag)
+
+    st = Watched(spark)
+    docs = spark.createDataFrame([(r.doc_id, r.text or "") for r in rows], "doc_id bigint, text string").repartition(5)
+    keyed, lexicon = packing.survey(docs, st, most=40)
+    got = {r.doc_id: r.rare for r in packing.rare_words(keyed, keyed._counts, ["doc_id", "place"], lexicon, st).collect()}
+    assert lexicon.other > 2 and got
+    for i, own in norm.items():
+        lexicon.told([(np.array([x.g for x in got.get(i, [])], np.int64), np.array([x.n for x in got.get(i, [])], np.int64))])
+        words = sorted(w for w in own if held[w] > 1)
+        n = np.array([held[w] for w in words], np.int64)
+        assert np.allclose(lexicon.idf(np.array(words, np.uint64)), np.log1p((lexicon.n - n + 0.5) / (n + 0.5)))
+    assert {"packing-survey", "packing-counts", "packing-rare"} == set(plans)
+    assert not any(x in p for p in plans.values() for x in ("Join", "Generate")) and "text#" not in plans["packing-rare"]
+
+
 def test_packing_brings_distant_relatives_together(spark):
     """Copies with a few changed words stand far apart in the table and yet, mostly, in one window."""
     rng = random.Random(2)
